@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import mpegts
+from ledgerline.llm import bpe, mpegts
+
+#: The production tokenizer's file, at one place on every machine.
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +26,19 @@ def op3_media_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature.alias("feature"))
 
 
-QUERIES = {"op3_media_transport_stream": op3_media_transport_stream}
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path()
+    decoded = bpe.decode_texts(bpe.encode_texts(_documents(spark, sf_dir), path), path)
+    ids = F.array_join(F.col("token_ids").cast("array<string>"), ",")
+    return decoded.select("doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+QUERIES = {"op6_forced_boundary_bpe": op6_forced_boundary_bpe, "op3_media_transport_stream": op3_media_transport_stream}
 
 ORACLE_SQL: dict[str, str] = {}
