@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, mpegts
+from ledgerline.llm import bpe, mpegts, simhash
 
 #: The production tokenizer's file, at one place on every machine.
 TOKENIZER = "byte_bpe_50k.json"
@@ -15,6 +15,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
+
+
 def op3_media_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = mpegts.decode_media(mpegts.encode_media(_documents(spark, sf_dir)))
     units = F.col("units")
@@ -39,6 +43,6 @@ def op6_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {"op6_forced_boundary_bpe": op6_forced_boundary_bpe, "op3_media_transport_stream": op3_media_transport_stream}
+QUERIES = {"op2_simhash_blocks": op2_simhash_blocks, "op6_forced_boundary_bpe": op6_forced_boundary_bpe, "op3_media_transport_stream": op3_media_transport_stream}
 
 ORACLE_SQL: dict[str, str] = {}
