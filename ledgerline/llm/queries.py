@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, mpegts, simhash
+from ledgerline.llm import bpe, mixing, mpegts, sharding, simhash
 
 #: The production tokenizer's file, at one place on every machine.
 TOKENIZER = "byte_bpe_50k.json"
@@ -43,6 +43,51 @@ def op6_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {"op2_simhash_blocks": op2_simhash_blocks, "op6_forced_boundary_bpe": op6_forced_boundary_bpe, "op3_media_transport_stream": op3_media_transport_stream}
-
-ORACLE_SQL: dict[str, str] = {}
+def op9_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = sharding.shuffle_into_shards(_documents(spark, sf_dir), 24)
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op10_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.pareto_mix(_documents(spark, sf_dir))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+QUERIES = {"op9_hypergeometric_shards": op9_hypergeometric_shards, "op10_pareto_mix": op10_pareto_mix, "op2_simhash_blocks": op2_simhash_blocks, "op6_forced_boundary_bpe": op6_forced_boundary_bpe, "op3_media_transport_stream": op3_media_transport_stream}
+
+OP10_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+    (CAST('0x' || substr(md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) + 0.5e0) / 4503599627370496e0 AS u
+  FROM documents),
+sizes AS (SELECT source, CAST(sum(size) AS HUGEINT) AS source_size FROM docs GROUP BY source),
+weighed AS (
+  SELECT source, source_size, 3 * source_size AS cap,
+    [5, 2, 1][1 + (row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1) % 3] AS weight
+  FROM sizes),
+placed AS (
+  SELECT *, row_number() OVER r AS place,
+    (SELECT sum(source_size) FROM sizes) - coalesce(sum(cap) OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+    (SELECT sum(weight) FROM weighed) - coalesce(sum(weight) OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS open
+  FROM weighed WINDOW r AS (ORDER BY CAST(cap AS DOUBLE) / weight, source IS NULL, encode(source))),
+judged AS (SELECT *, cap * open <= rest * weight AS capped FROM placed),
+targets AS (
+  SELECT source, source_size, CASE WHEN capped THEN CAST(cap AS DOUBLE)
+    ELSE (SELECT CAST(arg_min(rest, place) AS DOUBLE) FROM judged WHERE NOT capped) * weight / (SELECT CAST(arg_min(open, place) AS DOUBLE) FROM judged WHERE NOT capped) END AS target
+  FROM judged),
+due AS (
+  SELECT doc_id, d.source, size, source_size, target, u,
+    least(CASE WHEN source_size > 0 THEN target * 1e0 / CAST(source_size AS DOUBLE) ELSE 0e0 END, 3e0) AS due
+  FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
+ranked AS (SELECT *, floor(due) AS whole, due - floor(due) AS p FROM due),
+ordered AS (
+  SELECT *, CASE WHEN p > 0 THEN (u / (1 - u) * (1 - p) / p) / (1 + u / (1 - u) * (1 - p) / p) END AS rank,
+    target - sum(size * whole) OVER (PARTITION BY source) AS rest
+  FROM ranked),
+summed AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY rank NULLS LAST, doc_id, size ROWS UNBOUNDED PRECEDING) AS through FROM ordered)
+SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
+  CAST(size * least(whole + CASE WHEN p > 0 AND abs(through - rest) < abs(through - size - rest) THEN 1 ELSE 0 END, 3) AS BIGINT) AS taken
+FROM summed
+"""
+
+ORACLE_SQL: dict[str, str] = {"op10_pareto_mix": OP10_SQL}
