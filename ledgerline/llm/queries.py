@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, mixing, mpegts, sharding, simhash
+from ledgerline.llm import bpe, mixing, mpegts, quality, sharding, simhash, toxicity
+from ledgerline.llm.training import id_fold
 
 #: The production tokenizer's file, at one place on every machine.
 TOKENIZER = "byte_bpe_50k.json"
@@ -36,6 +37,14 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op5_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    learnt = id_fold("doc_id", 5) != 0
+    model = toxicity.fit_toxicity(docs.filter(learnt), spark.read.parquet(f"{sf_dir}/labels.parquet").filter(learnt))
+    scored = toxicity.toxicity_scores(docs, model).select(F.col("__id").alias("doc_id"), F.col("__score").alias("score"))
+    return scored.select("doc_id", (id_fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op6_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
     decoded = bpe.decode_texts(bpe.encode_texts(_documents(spark, sf_dir), path), path)
@@ -43,6 +52,19 @@ def op6_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.LinearModel:
+    """Learns from the labels outside the held-out fold."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.fit_quality(docs, labels.filter(id_fold("doc_id", 4) != 2))
+
+
+def op8_nb_svm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    scored = quality.quality_scores(docs, quality_model(spark, docs, sf_dir))
+    scored = scored.select(F.col("__id").alias("doc_id"), F.col("__score").alias("score"))
+    return scored.select("doc_id", (id_fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op9_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = sharding.shuffle_into_shards(_documents(spark, sf_dir), 24)
     return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -53,7 +75,7 @@ def op10_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-QUERIES = {"op9_hypergeometric_shards": op9_hypergeometric_shards, "op10_pareto_mix": op10_pareto_mix, "op2_simhash_blocks": op2_simhash_blocks, "op6_forced_boundary_bpe": op6_forced_boundary_bpe, "op3_media_transport_stream": op3_media_transport_stream}
+QUERIES = {"op5_nnpu_toxicity": op5_nnpu_toxicity, "op8_nb_svm_quality": op8_nb_svm_quality, "op9_hypergeometric_shards": op9_hypergeometric_shards, "op10_pareto_mix": op10_pareto_mix, "op2_simhash_blocks": op2_simhash_blocks, "op6_forced_boundary_bpe": op6_forced_boundary_bpe, "op3_media_transport_stream": op3_media_transport_stream}
 
 OP10_SQL = r"""
 WITH docs AS (
