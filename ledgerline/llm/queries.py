@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, mixing, mpegts, quality, sharding, simhash, toxicity
+from ledgerline.llm import bpe, langid, mixing, mpegts, quality, sharding, simhash, toxicity
 from ledgerline.llm.training import id_fold
 
 #: The production tokenizer's file, at one place on every machine.
@@ -52,6 +52,13 @@ def op6_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_cross_parsing_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    held_out = id_fold("doc_id", 4) == 2
+    predicted = langid.predict_languages(docs, langid.training_texts(docs.filter(~held_out)))
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.LinearModel:
     """Learns from the labels outside the held-out fold."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -75,7 +82,7 @@ def op10_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-QUERIES = {"op5_nnpu_toxicity": op5_nnpu_toxicity, "op8_nb_svm_quality": op8_nb_svm_quality, "op9_hypergeometric_shards": op9_hypergeometric_shards, "op10_pareto_mix": op10_pareto_mix, "op2_simhash_blocks": op2_simhash_blocks, "op6_forced_boundary_bpe": op6_forced_boundary_bpe, "op3_media_transport_stream": op3_media_transport_stream}
+QUERIES = {"op7_cross_parsing_language": op7_cross_parsing_language, "op5_nnpu_toxicity": op5_nnpu_toxicity, "op8_nb_svm_quality": op8_nb_svm_quality, "op9_hypergeometric_shards": op9_hypergeometric_shards, "op10_pareto_mix": op10_pareto_mix, "op2_simhash_blocks": op2_simhash_blocks, "op6_forced_boundary_bpe": op6_forced_boundary_bpe, "op3_media_transport_stream": op3_media_transport_stream}
 
 OP10_SQL = r"""
 WITH docs AS (
