@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, langid, mixing, mpegts, quality, sharding, simhash, toxicity
+from ledgerline.llm import ann, bpe, langid, mixing, mpegts, quality, sharding, simhash, toxicity
 from ledgerline.llm.training import id_fold
 
 #: The production tokenizer's file, at one place on every machine.
@@ -16,6 +16,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return ann.nearest_neighbours(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+
+
 def op2_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
 
@@ -82,7 +87,7 @@ def op10_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-QUERIES = {"op7_cross_parsing_language": op7_cross_parsing_language, "op5_nnpu_toxicity": op5_nnpu_toxicity, "op8_nb_svm_quality": op8_nb_svm_quality, "op9_hypergeometric_shards": op9_hypergeometric_shards, "op10_pareto_mix": op10_pareto_mix, "op2_simhash_blocks": op2_simhash_blocks, "op6_forced_boundary_bpe": op6_forced_boundary_bpe, "op3_media_transport_stream": op3_media_transport_stream}
+QUERIES = {"op1_hilbert_neighbours": op1_hilbert_neighbours, "op7_cross_parsing_language": op7_cross_parsing_language, "op5_nnpu_toxicity": op5_nnpu_toxicity, "op8_nb_svm_quality": op8_nb_svm_quality, "op9_hypergeometric_shards": op9_hypergeometric_shards, "op10_pareto_mix": op10_pareto_mix, "op2_simhash_blocks": op2_simhash_blocks, "op6_forced_boundary_bpe": op6_forced_boundary_bpe, "op3_media_transport_stream": op3_media_transport_stream}
 
 OP10_SQL = r"""
 WITH docs AS (
