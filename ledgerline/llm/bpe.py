@@ -10,6 +10,7 @@ concatenated. The vocabulary file is the ``tokenizers`` library's JSON.
 
 from __future__ import annotations
 
+import heapq
 import json
 import unicodedata
 from collections.abc import Iterator
@@ -24,8 +25,8 @@ from pyspark.sql import types as T
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 #: Unicode's White_Space property.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-#: Fragments whose ids a worker keeps.
-KEPT_FRAGMENTS = 400_000
+#: Fragments whose ids a worker keeps, twice: those met last, and those before.
+KEPT_FRAGMENTS = 250_000
 
 
 def byte_characters() -> dict[str, int]:
@@ -97,10 +98,14 @@ class ForcedBoundaryBpe:
         self.ids = {as_bytes(token): i for token, i in spec["model"]["vocab"].items()}
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.token = {i: b for b, i in self.ids.items()} | {i: text.encode() for text, i in self.special.items()}
-        self.ranks = {}
+        #: A merge's rank by its two ids, and what it makes.
+        self.ranks: dict[tuple[int, int], int] = {}
+        self.made: list[int] = []
         for rank, pair in enumerate(spec["model"]["merges"]):
-            left, right = pair.split(" ") if isinstance(pair, str) else pair
-            self.ranks.setdefault((as_bytes(left), as_bytes(right)), rank)
+            left, right = map(as_bytes, pair.split(" ") if isinstance(pair, str) else pair)
+            self.ranks.setdefault((self.ids[left], self.ids[right]), rank)
+            self.made.append(self.ids[left + right])
+        self._byte = [self.ids[bytes([b])] for b in range(256)]
         #: joined[a, b]: some token holds byte a right before byte b.
         self.joined = np.zeros((256, 256), bool)
         for token in self.ids:
@@ -108,6 +113,7 @@ class ForcedBoundaryBpe:
             self.joined[raw[:-1], raw[1:]] = True
         self._first, self._last = _utf8_ends()
         self._known: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, tuple[int, ...]] = {}
 
     def cuts(self, cps: np.ndarray) -> np.ndarray:
         """Where fragments start: at pre-tokens, and between characters whose meeting bytes no token joins."""
@@ -117,57 +123,57 @@ class ForcedBoundaryBpe:
 
     def _merged(self, raw: bytes) -> list[int]:
         """The ids of one fragment, by merging the pair of least rank, leftmost first."""
-        parts = [raw[k : k + 1] for k in range(len(raw))]
-        rank, none = self.ranks.get, len(self.ranks)
-        ranks = [rank(pair, none) for pair in zip(parts, parts[1:], strict=False)]
+        ids = [*map(self._byte.__getitem__, raw)]
+        rank, none = self.ranks.get, len(self.made)
+        ranks = [rank(pair, none) for pair in zip(ids, ids[1:], strict=False)]
         while ranks and (least := min(ranks)) < none:
             k = ranks.index(least)
-            parts[k] += parts.pop(k + 1)
-            del ranks[k]
+            ids[k] = self.made[least]
+            del ids[k + 1], ranks[k]
             if k:
-                ranks[k - 1] = rank((parts[k - 1], parts[k]), none)
+                ranks[k - 1] = rank((ids[k - 1], ids[k]), none)
             if k < len(ranks):
-                ranks[k] = rank((parts[k], parts[k + 1]), none)
-        return [self.ids[p] for p in parts]
+                ranks[k] = rank((ids[k], ids[k + 1]), none)
+        return ids
 
     def _fragment(self, fragment: str) -> tuple[int, ...]:
-        """The ids of a fragment that wasn't met yet; within it, bytes that no token joins cut it further."""
-        raw = fragment.encode()
-        b = np.frombuffer(raw, np.uint8)
-        at = [0, *(np.flatnonzero(~self.joined[b[:-1], b[1:]]) + 1).tolist(), len(raw)]
-        ids: list[int] = []
-        for begin, end in zip(at, at[1:], strict=False):
-            piece = raw[begin:end]
-            ids += [self.ids[piece]] if len(piece) == 1 else self._long(piece) if len(piece) > 200 else self._merged(piece)
-        out = tuple(ids)
+        """The ids of a fragment that wasn't met lately; bytes of a character that no token joins cut it further."""
+        out = self._older.get(fragment)
+        if out is None:
+            raw = fragment.encode()
+            at = [0, len(raw)]
+            if len(raw) > len(fragment):
+                b = np.frombuffer(raw, np.uint8)
+                at[1:1] = (np.flatnonzero(~self.joined[b[:-1], b[1:]]) + 1).tolist()
+            ids: list[int] = []
+            for begin, end in zip(at, at[1:], strict=False):
+                ids += self._long(raw[begin:end]) if end - begin > 200 else self._merged(raw[begin:end])
+            out = tuple(ids)
         if len(self._known) >= KEPT_FRAGMENTS:
-            self._known.clear()
+            self._older, self._known = self._known, {}
         self._known[fragment] = out
         return out
 
     def _long(self, raw: bytes) -> list[int]:
         """Like ``_merged``, for long runs: a heap of pairs instead of scans."""
-        import heapq
-
         n = len(raw)
-        text: list[bytes | None] = [raw[k : k + 1] for k in range(n)]
+        ids: list[int] = [*map(self._byte.__getitem__, raw)]
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, k, text[k], text[k + 1]) for k in range(n - 1) if (r := self.ranks.get((text[k], text[k + 1]))) is not None]
+        heap = [(r, k, ids[k], ids[k + 1]) for k in range(n - 1) if (r := self.ranks.get((ids[k], ids[k + 1]))) is not None]
         heapq.heapify(heap)
         while heap:
-            _, k, left, right = heapq.heappop(heap)
+            rank, k, left, right = heapq.heappop(heap)
             j = after[k]
-            if text[k] != left or j >= n or text[j] != right:
+            if ids[k] != left or j >= n or ids[j] != right:
                 continue
-            text[k] = left + right
-            text[j] = None
+            ids[k], ids[j] = self.made[rank], -1
             after[k] = after[j]
             if after[j] < n:
                 before[after[j]] = k
             for a, b in ((before[k], k), (k, after[k])):
-                if a >= 0 and b < n and (r := self.ranks.get((text[a], text[b]))) is not None:
-                    heapq.heappush(heap, (r, a, text[a], text[b]))
-        return [self.ids[p] for p in text if p is not None]
+                if a >= 0 and b < n and (r := self.ranks.get((ids[a], ids[b]))) is not None:
+                    heapq.heappush(heap, (r, a, ids[a], ids[b]))
+        return [i for i in ids if i >= 0]
 
     def _plain(self, text: str) -> list[int]:
         """Encodes a text without special tokens."""
@@ -208,6 +214,19 @@ def tokenizer(path: str) -> ForcedBoundaryBpe:
 ENCODED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.ArrayType(T.IntegerType(), False))])
 
 
+#: Texts that are worked on at a time.
+ROWS = 128
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
+ENCODED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.ArrayType(T.IntegerType(), False))])
+
+
 def _id_lists(lists: pa.ListArray) -> list[list[int] | None]:
     offsets = lists.offsets.to_numpy()
     values = lists.values.to_numpy()[: offsets[-1]].tolist()
@@ -215,10 +234,6 @@ def _id_lists(lists: pa.ListArray) -> list[list[int] | None]:
     return [values[a:b] if ok else None for a, b, ok in zip(offsets[:-1].tolist(), offsets[1:].tolist(), valid, strict=True)]
 
 
-def _texts(batch: pa.RecordBatch, column: int) -> list[str]:
-    return [t or "" for t in batch.column(column).to_pylist()]
-
-
 def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, token_ids``: each whole text's ids (null: those of an empty text, none).
 
@@ -232,8 +247,8 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path)
-        for batch in batches:
-            found = bpe.encode_batch(_texts(batch, 1))
+        for batch in _parts(batches):
+            found = bpe.encode_batch([t or "" for t in batch.column(1).to_pylist()])
             sizes = np.fromiter(map(len, found), np.int64, len(found))
             values = np.fromiter((i for ids in found for i in ids), np.int32, int(sizes.sum()))
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
@@ -254,8 +269,8 @@ def decode_texts(encoded: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path)
-        for batch in batches:
-            texts = [None if ids is None else bpe.decode(ids) for ids in _id_lists(batch.column(2))]
+        for batch in _parts(batches):
+            texts = [bpe.decode(ids.values.to_numpy().tolist()) if ids.is_valid else None for ids in batch.column(2)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(texts, pa.string())], schema=schema)
 
     return encoded.select("doc_id", "n_tokens", "token_ids").mapInArrow(run, DECODED)
