@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import ann, bpe, langid, mixing, mpegts, quality, sharding, simhash, toxicity
+from ledgerline.llm import ann, bpe, langid, line_dedup, mixing, mpegts, quality, sharding, simhash, toxicity
 from ledgerline.llm.training import id_fold
 
 #: The production tokenizer's file, at one place on every machine.
@@ -42,6 +42,28 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_cuckoo_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(_documents(spark, sf_dir))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP4_SQL = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM l),
+held AS (SELECT key, min(doc_id) AS first_doc, max(doc_id) AS last_doc FROM keyed WHERE length(key) >= 10 GROUP BY key),
+judged AS (
+  SELECT k.doc_id, k.pos, k.line, coalesce(h.first_doc < h.last_doc AND k.doc_id <> h.first_doc, false) AS lost
+  FROM keyed k LEFT JOIN held h ON k.key = h.key)
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN lost THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT lost), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
 def op5_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     learnt = id_fold("doc_id", 5) != 0
@@ -87,7 +109,7 @@ def op10_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-QUERIES = {"op1_hilbert_neighbours": op1_hilbert_neighbours, "op7_cross_parsing_language": op7_cross_parsing_language, "op5_nnpu_toxicity": op5_nnpu_toxicity, "op8_nb_svm_quality": op8_nb_svm_quality, "op9_hypergeometric_shards": op9_hypergeometric_shards, "op10_pareto_mix": op10_pareto_mix, "op2_simhash_blocks": op2_simhash_blocks, "op6_forced_boundary_bpe": op6_forced_boundary_bpe, "op3_media_transport_stream": op3_media_transport_stream}
+QUERIES = {"op4_cuckoo_line_dedup": op4_cuckoo_line_dedup, "op1_hilbert_neighbours": op1_hilbert_neighbours, "op7_cross_parsing_language": op7_cross_parsing_language, "op5_nnpu_toxicity": op5_nnpu_toxicity, "op8_nb_svm_quality": op8_nb_svm_quality, "op9_hypergeometric_shards": op9_hypergeometric_shards, "op10_pareto_mix": op10_pareto_mix, "op2_simhash_blocks": op2_simhash_blocks, "op6_forced_boundary_bpe": op6_forced_boundary_bpe, "op3_media_transport_stream": op3_media_transport_stream}
 
 OP10_SQL = r"""
 WITH docs AS (
@@ -124,4 +146,4 @@ SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
 FROM summed
 """
 
-ORACLE_SQL: dict[str, str] = {"op10_pareto_mix": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_cuckoo_line_dedup": OP4_SQL, "op10_pareto_mix": OP10_SQL}
