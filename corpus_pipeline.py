@@ -1,16 +1,72 @@
-"""The training-corpus pipeline: STAGES apply in order, each to what its predecessor kept."""
+"""The training-corpus pipeline: STAGES apply in order, each to all that its predecessor kept.
+
+Every stage but the last returns the columns of its input. Columns that a stage
+doesn't name pass through. Empty tables pass through every stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerline.llm import bpe, line_dedup, mixing, quality, simhash
+from ledgerline.llm.queries import quality_model, tokenizer_path
+from ledgerline.llm.store import Shared
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier scores THRESHOLD or more; null and empty texts are scored like others, and repeated rows alike."""
+    scored = quality.quality_scores(docs, quality_model(spark, docs, sf_dir), keep=tuple(docs.columns))
+    return scored.filter(F.col("__score") >= quality.THRESHOLD).select(*docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, without the lines that a document of a smaller id holds; a text that loses all lines is empty, and a null text becomes empty. ``n_chars`` follows the text."""
+    kept = line_dedup.dedup_lines(docs).withColumn("text", F.col("kept"))
+    if "n_chars" in docs.columns:
+        kept = kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return kept.select(*docs.columns)
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each group of near-copies. Of several rows with one id one stays; rows without an id can't be told apart and all stay."""
+    named = docs.filter(F.col("doc_id").isNotNull())
+    groups = simhash.near_duplicates(named)
+    chosen = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    kept = named.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it; null sources are one source, null texts have no words."""
+    mixed = mixing.pareto_mix(docs.select(*[F.col(c).alias(f"own_{c}") for c in docs.columns]), id_col="own_doc_id", text_col="own_text", source_col="own_source", keep=tuple(f"own_{c}" for c in docs.columns))
+    taken = mixed.filter(F.col("copies") > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return taken.select(*[F.col(f"own_{c}").alias(c) for c in docs.columns])
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, n_tokens, token_ids`` of every row; null texts have no tokens."""
+    return bpe.encode_texts(docs, tokenizer_path())
+
 
-STAGES: list = []
+STAGES = [
+    ("quality", keep_quality),
+    ("line dedup", drop_repeated_lines),
+    ("near copies", keep_one_of_near_copies),
+    ("mix", mix_sources),
+    ("encode", encode),
+]
 
+#: A trained classifier and a tokenizer are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each result but the last is written to the shared folder and read back."""
+    shared = Shared(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = shared.keep(docs, f"stage{k}")
     return docs
