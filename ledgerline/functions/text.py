@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: What counts as white space in the data's definition, in a Java character class.
 WS = r"\s\x1c-\x1f\x85\p{Z}"
@@ -18,7 +19,7 @@ DEFAULT_NA = ("", "#n/a", "#n/a n/a", "#na", "-1.#ind", "-1.#qnan", "-nan", "1.#
 TOKEN_STRIP = " ,.<>()[]{}!?:;\"'\t\r\n"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfkc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
 

@@ -238,7 +238,7 @@ def indegree_distribution(edges: DataFrame) -> DataFrame:
 def multi_parent_examples(edges: DataFrame, s1: DataFrame, k: int = 100) -> DataFrame:
     """The first ``k`` targets, by source and id, under several parents, with the parents and their countries in order of arrival. Only those ``k`` targets' parents are gathered."""
     chosen = _degrees(edges).filter("in_degree > 1").orderBy("target_source", "target_id").limit(k)
-    own = edges.join(F.broadcast(chosen), "target_id")
+    own = edges.select("s1_id", "target_id", "ord").join(F.broadcast(chosen), "target_id")
     countries = s1.select(F.col("entity_id").alias("s1_id"), or_unknown(F.col("country")).alias("c"))
     rows = own.join(countries, "s1_id", "left").groupBy("target_id", "target_source", "in_degree").agg(F.array_sort(F.collect_list(F.struct("ord", "s1_id", F.coalesce("c", F.lit("Unknown")).alias("c")))).alias("p"))
     listed = lambda f: F.array_join(F.transform("p", lambda x: x[f]), ",")

@@ -100,7 +100,8 @@ def _checked_file(spark: SparkSession, path: str, header: tuple[str, ...], requi
     if not Catalog(spark, {"f": path}).exists("f"):
         verdict.errors.append(f"File not found: {path}")
         return None
-    if not file_facts(spark, path).first()["valid_utf8"]:
+    facts = file_facts(spark, path).first()  # none for an empty file
+    if facts is not None and not facts["valid_utf8"]:
         verdict.errors.append(f"{name}: not valid UTF-8.")
         return None
     head = spark.read.text(path).limit(1).collect()
