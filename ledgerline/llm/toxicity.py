@@ -24,8 +24,9 @@ from ledgerline.llm.training import class_sample, sampling_number
 #: Confirmed toxic texts, and texts without a label, that a model is fitted on, about.
 POSITIVES = 3000
 UNLABELLED = 9000
-#: Words of a model: those whose shares differ most for their spread, each in at least so many texts of the sample.
+#: Words of a model: those whose shares differ most for their spread, by so many standard deviations at least, each in at least so many texts of the sample.
 WORDS = 256
+LEAST_STRENGTH = 3.0
 LEAST_TEXTS = 4
 #: The prior where the labels hold no negatives.
 PRIOR = 0.1
@@ -74,7 +75,7 @@ def chosen_words(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> np
     spread = np.sqrt(share[0] * (1 - share[0]) / (len(positive) + 1) + share[1] * (1 - share[1]) / (len(unlabelled) + 1))
     strength = np.where(total >= LEAST_TEXTS, np.abs(share[0] - share[1]) / spread, -1)
     best = np.lexsort([every, -strength])[:WORDS]
-    return np.sort(every[best[strength[best] >= 0]])
+    return np.sort(every[best[strength[best] >= LEAST_STRENGTH]])
 
 
 def _rows(texts: list[np.ndarray], words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
