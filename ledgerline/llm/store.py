@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -20,19 +23,33 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Shared:
-    """Writes tables under one run's own folder and reads them back: computed once, and kept when executors are lost."""
+    """Writes tables under one run's own folder and reads them back: computed once, and kept when executors are lost.
+
+    Results read from them, so they stay until ``close``, or the driver's end.
+    """
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self._hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        atexit.register(self.close)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def _delete(self, folder: str) -> None:
+        path = self._path(folder)
+        path.getFileSystem(self._hadoop).delete(path, True)
+
     def drop(self, name: str) -> None:
         """Removes a table that no later step reads."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        self._delete(f"{self.root}/{name}")
+
+    def close(self) -> None:
+        """Removes all tables; nothing is left to do where the JVM is gone."""
+        atexit.unregister(self.close)
+        with contextlib.suppress(OSError, Py4JError):
+            self._delete(self.root)
