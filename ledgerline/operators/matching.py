@@ -9,11 +9,11 @@ from ledgerline.functions.text import PLACEHOLDERS, normalise, tokens
 
 
 def name_keys(name: Column) -> dict[str, Column]:
-    """Blocking keys of a normalised name: itself, its first token, its sorted tokens, how it sounds, and its numbers."""
+    """Blocking keys of a normalised name: itself, its first token, its sorted tokens, how it sounds, its numbers, and its first letters without blanks."""
     words = tokens(name)
     sound = F.array_join(F.transform(words, F.soundex), " ")
     numbers = F.array_join(F.array_sort(F.regexp_extract_all(name, F.lit("(\\d+)"))), " ")
-    return {"name": name, "first": words[0], "sorted": F.array_join(F.array_sort(words), " "), "sound": sound, "numbers": numbers}
+    return {"name": name, "first": words[0], "sorted": F.array_join(F.array_sort(words), " "), "sound": sound, "numbers": numbers, "letters": F.substring(F.replace(name, F.lit(" "), F.lit("")), 1, 6)}
 
 
 def blocking_pairs(left: DataFrame, right: DataFrame, lanes: tuple[str, ...] = ("name", "sorted"), nfkc: bool = True) -> DataFrame:
@@ -37,6 +37,24 @@ def pair_features(pairs: DataFrame, a: str, b: str) -> DataFrame:
     return pairs.withColumn("jaccard", F.when(either > 0, both / either).otherwise(0.0)).withColumn("edit_distance", F.when(longest > 0, F.levenshtein(a, b) / longest).otherwise(0.0))
 
 
+def tfidf_cosine(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """``s1_id, target_id, cosine`` of the texts of both records by term counts times log((1 + n) / (1 + records with the term)) + 1.
+
+    ``left`` and ``right`` have ``id, text`` (normalised). Only terms that both
+    records of a pair share are joined; pairs without any have 0.
+    """
+    rows = left.select("id", "text").unionByName(right.select("id", "text"))
+    terms = rows.select("id", F.explode(tokens(F.col("text"))).alias("term")).filter(F.col("term") != "").groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    n = rows.agg(F.count(F.lit(1)).alias("n"))
+    idf = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df")).crossJoin(F.broadcast(n)).select("term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
+    weights = terms.join(idf, "term").select("id", "term", (F.col("tf") * F.col("idf")).alias("w"))
+    norms = weights.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    unit = weights.join(norms, "id").select("id", "term", (F.col("w") / F.col("norm")).alias("w"))
+    a = pairs.select("s1_id", "target_id").join(unit.select(F.col("id").alias("s1_id"), "term", F.col("w").alias("wa")), "s1_id")
+    dots = a.join(unit.select(F.col("id").alias("target_id"), "term", F.col("w").alias("wb")), ["target_id", "term"]).groupBy("s1_id", "target_id").agg(F.sum(F.col("wa") * F.col("wb")).alias("cosine"))
+    return pairs.select("s1_id", "target_id").join(dots, ["s1_id", "target_id"], "left").select("s1_id", "target_id", F.coalesce("cosine", F.lit(0.0)).alias("cosine"))
+
+
 def exclusive_assignment(scored: DataFrame) -> DataFrame:
     """The best pair of each target by ``score``, ties to the smaller entity id: no target is given away twice."""
     best = F.struct((-F.col("score")).alias("s"), F.col("s1_id").alias("i"))

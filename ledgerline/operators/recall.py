@@ -104,3 +104,13 @@ def candidate_issues(candidates: DataFrame, allowed_s1: DataFrame | None = None,
         unknown = candidates.select("s1_id").distinct().join(allowed_s1.select("s1_id"), "s1_id", "left_anti")
         found = found.unionByName(unknown.select(F.lit("unknown_s1").alias("rule"), "s1_id", F.lit("").alias("detail")))
     return found if matched is None else found.unionByName(issue(not_in(matched, candidates), "match_not_candidate"))
+
+
+#: Rules in the order in which a reader is told of the first one broken.
+ISSUE_ORDER = ("unknown_s1", "repeated_id", "self_match", "wrong_prefix", "match_not_candidate")
+
+
+def first_issue(issues: DataFrame) -> DataFrame:
+    """The one issue of ``candidate_issues`` that comes first by rule, entity and detail; no row for a sound set."""
+    order = F.array_position(F.array(*[F.lit(r) for r in ISSUE_ORDER]), F.col("rule"))
+    return issues.orderBy(order, "s1_id", "detail").limit(1)

@@ -29,7 +29,7 @@ MESSAGES = {
 def parsed_lines(lines: DataFrame) -> DataFrame:
     """``line, s1_id, ids`` of ``line, value`` (header left out): split at the first tab; ids are not stripped; null where there is no tab."""
     parts = F.split("value", "\t", 2)
-    rest = F.element_at(parts, 2)
+    rest = F.try_element_at(parts, F.lit(2))
     ids = F.when(F.trim(rest) == "", F.array().cast("array<string>")).otherwise(F.split(rest, ","))
     return lines.select("line", parts[0].alias("s1_id"), F.when(F.size(parts) == 2, ids).alias("ids"), "value")
 

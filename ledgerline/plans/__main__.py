@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 
 from ledgerline.operators.validation import validate_results
 from ledgerline.plans import audit_runs
+from ledgerline.sources.sinks import write_validation_log
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -26,10 +27,13 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("-c", "--candidate")
     p.add_argument("-t", "--test-dir", required=True)
     p.add_argument("--check-ids", action="store_true")
+    p.add_argument("--log")
     a = parser.parse_args(argv)
     spark = SparkSession.builder.appName("ledgerline").getOrCreate()
     if a.command == "validate":
         found = validate_results(spark, a.matching, f"{a.test_dir}/test_source1.tsv", a.candidate, (f"{a.test_dir}/test_source2.tsv", f"{a.test_dir}/test_source3.tsv"), a.check_ids)
+        if a.log:
+            write_validation_log(found, a.log, " ".join(argv or sys.argv[1:]))
         print("\n".join([found.status, *(f"ERROR: {e}" for e in found.errors), *(f"WARNING: {w}" for w in found.warnings)]))
         return found.exit_code
     catalog = audit_runs.standard_catalog(spark, a.data)

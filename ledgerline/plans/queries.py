@@ -495,3 +495,24 @@ def threshold_sweep(x: Fixture) -> DataFrame:
 @query(_with(f"{_SCORED} SELECT arg_min(s1_id, (-score, s1_id)) AS s1_id, target_id, max(score) AS score FROM (SELECT DISTINCT s1_id, target_id, score FROM scored) GROUP BY target_id"))
 def exclusive_assignment(x: Fixture) -> DataFrame:
     return matching.exclusive_assignment(_scored(x))
+
+
+@query("SELECT 'unknown_s1' AS rule, min(s1_id) AS s1_id, '' AS detail FROM er_cand WHERE s1_id NOT IN (SELECT s1_id FROM ent WHERE k % 10 <> 0)")
+def first_candidate_issue(x: Fixture) -> DataFrame:
+    allowed = x.s1.filter("k % 10 <> 0").select(F.col("entity_id").alias("s1_id"))
+    return recall.first_issue(recall.candidate_issues(x.cand, allowed, x.pred))
+
+
+_TERMS = f"""docs AS (SELECT entity_id AS id, {_norm('business_name')} AS t FROM er_s1 UNION ALL SELECT entity_id, {_norm('business_name')} FROM er_s2),
+terms AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(string_split(t, ' ')) AS term FROM docs) WHERE term <> '' GROUP BY id, term),
+idf AS (SELECT term, ln((1 + (SELECT count(*) FROM docs))::DOUBLE / (1 + count(*))::DOUBLE) + 1 AS idf FROM terms GROUP BY term),
+w AS (SELECT id, term, tf * idf AS w FROM terms JOIN idf USING (term)),
+u AS (SELECT w.id, w.term, w.w / n.n AS w FROM w JOIN (SELECT id, sqrt(sum(w * w)) AS n FROM w GROUP BY id) n ON w.id = n.id)"""
+
+
+@query(_with(f"""{_TERMS}
+SELECT c.s1_id, c.target_id, round(coalesce(sum(a.w * b.w), 0), 9) AS cosine FROM (SELECT * FROM er_cand WHERE target_id LIKE 'S2-%') c LEFT JOIN u a ON c.s1_id = a.id LEFT JOIN u b ON c.target_id = b.id AND a.term = b.term GROUP BY c.s1_id, c.target_id"""))
+def pair_tfidf_cosine(x: Fixture) -> DataFrame:
+    texts = lambda df: df.select(F.col("entity_id").alias("id"), text.normalise(F.col("business_name")).alias("text"))
+    out = matching.tfidf_cosine(x.cand.filter(F.col("target_id").startswith("S2-")), texts(x.s1), texts(x.s2))
+    return out.withColumn("cosine", F.round("cosine", 9))

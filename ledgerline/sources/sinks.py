@@ -89,3 +89,12 @@ def manifest(paths: list[str]) -> dict[str, dict]:
                 end = block[-1:]
         out[p.name] = {"path": str(p), "size_bytes": size, "line_count": lines + (end != b"\n"), "sha256": digest.hexdigest()}
     return out
+
+
+def write_validation_log(verdict, path: str, command: str = "") -> None:
+    """Status, command, statistics, errors and warnings of a validation, a line each."""
+    lines = [f"status: {verdict.status} ({verdict.exit_code})", f"command: {command}"]
+    lines += [f"{name}: {s['n_rows']:,} rows ({s['n_empty']:,} empty, {s['n_non_empty']:,} non-empty)" for name, s in verdict.statistics.items()]
+    lines += [f"error: {e}" for e in verdict.errors] + [f"warning: {w}" for w in verdict.warnings]
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    Path(path).write_text("\n".join(lines) + "\n", encoding="utf-8")

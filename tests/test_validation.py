@@ -1,6 +1,7 @@
 import pytest
 
 from ledgerline.operators.validation import validate_results
+from ledgerline.sources.sinks import write_validation_log
 
 
 @pytest.fixture
@@ -15,11 +16,13 @@ def files(tmp_path):
     return write, str(tmp_path / "test_source1.tsv"), str(tmp_path / "ids.tsv")
 
 
-def test_pass(spark, files):
+def test_pass(spark, files, tmp_path):
     write, s1, ids = files
     v = validate_results(spark, write("m.tsv", "source1_entity_id\tmatched_entity_ids\nS1-1\tS2-100\nS1-2\t\n"), s1, None, (ids,), True)
     assert (v.status, v.exit_code, v.errors) == ("PASS", 0, [])
     assert v.statistics["m.tsv"] == {"n_rows": 2, "n_empty": 1, "n_non_empty": 1}
+    write_validation_log(v, str(tmp_path / "v.log"), "validate")
+    assert (tmp_path / "v.log").read_text().splitlines()[:3] == ["status: PASS (0)", "command: validate", "m.tsv: 2 rows (1 empty, 1 non-empty)"]
 
 
 def test_fatal(spark, files):
