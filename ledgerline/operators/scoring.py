@@ -11,11 +11,11 @@ from ledgerline.functions.measures import f_half, ratio
 def matched_counts(entities: DataFrame, truth: DataFrame, found: DataFrame) -> DataFrame:
     """``entities`` with ``n_true, n_found, n_both``; edges count once, and those of unknown entities not at all.
 
-    Both tables are dealt out by entity once; the inner grouping, the outer one
-    and the join all use that.
+    Pairs are grouped by both ids and summed by task before they are dealt out
+    by entity, so an entity with a large share of all edges meets many tasks.
     """
     flagged = truth.select("s1_id", "target_id", F.lit(1).alias("t"), F.lit(0).alias("f")).unionByName(found.select("s1_id", "target_id", F.lit(0).alias("t"), F.lit(1).alias("f")))
-    pairs = flagged.repartition("s1_id").groupBy("s1_id", "target_id").agg(F.max("t").alias("t"), F.max("f").alias("f"))
+    pairs = flagged.groupBy("s1_id", "target_id").agg(F.max("t").alias("t"), F.max("f").alias("f"))
     counts = pairs.groupBy("s1_id").agg(F.sum("t").alias("n_true"), F.sum("f").alias("n_found"), F.sum(F.col("t") * F.col("f")).alias("n_both"))
     zero = {c: F.coalesce(c, F.lit(0)).cast("long") for c in ("n_true", "n_found", "n_both")}
     return entities.join(counts, "s1_id", "left").withColumns(zero)
