@@ -110,7 +110,13 @@ def _copies_bounded(rows: DataFrame, nearest: int) -> DataFrame:
 PLACED = T.StructType([T.StructField(n, k) for n, k in (("curve", T.IntegerType()), ("window", T.IntegerType()), ("part", T.IntegerType()), ("is_query", T.BooleanType()), ("vec_id", T.LongType()), ("vector", T.BinaryType()))])
 
 
-def _placed(rows: DataFrame, curves: Curves, edges: list[np.ndarray], parts: int, is_query: bool) -> DataFrame:
+def _single(df: DataFrame, vector_col: str) -> bool:
+    """Whether a column's vectors are single floats, which travel as such without loss."""
+    kind = df.schema[vector_col].dataType
+    return isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType)
+
+
+def _placed(rows: DataFrame, curves: Curves, edges: list[np.ndarray], parts: int, is_query: bool, kind: type) -> DataFrame:
     """A row for each order and window where a vector is to be met: its own window for a row; for a query also both neighbours, and all of their parts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +125,7 @@ def _placed(rows: DataFrame, curves: Curves, edges: list[np.ndarray], parts: int
                 batch = whole.slice(at, 2048)
                 ids, vectors = batch.column(0).to_numpy(), _matrix(batch.column(1))
                 keys = curves.keys(vectors)
-                raw = pa.array([v.tobytes() for v in vectors], pa.binary())
+                raw = pa.array([v.tobytes() for v in vectors.astype(kind)], pa.binary())
                 for k, own in enumerate(edges):
                     window = np.searchsorted(own, keys[:, k], side="right")
                     for step in (-1, 0, 1) if is_query else (0,):
@@ -141,13 +147,13 @@ def _cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return dot(a, b) / (np.sqrt(dot(a, a)) * np.sqrt(dot(b, b)))
 
 
-def _search(nearest: int):
+def _search(nearest: int, kind: type):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         query = pdf["is_query"].to_numpy()
         ids = pdf["vec_id"].to_numpy()
         found: list[pd.DataFrame] = []
         if query.any() and not query.all():
-            vectors = np.frombuffer(b"".join(pdf["vector"]), np.float64).reshape(len(pdf), -1)
+            vectors = np.frombuffer(b"".join(pdf["vector"]), kind).reshape(len(pdf), -1).astype(np.float64)
             own = np.flatnonzero(~query)
             own = own[np.argsort(ids[own], kind="stable")]
             unit = vectors[own] / np.linalg.norm(vectors[own], axis=1, keepdims=True)
@@ -205,8 +211,9 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, nearest: int = NE
     cuts = np.arange(1, n_windows) / n_windows
     edges = [np.unique(np.quantile(drawn[:, k], cuts, method="nearest")) if len(drawn) else np.zeros(0, np.int64) for k in range(curves)]
     index = shared.keep(_copies_bounded(rows, nearest), "index")
-    placed = _placed(index, shape, edges, parts, False).unionByName(_placed(one.select("vec_id", "vector"), shape, edges, parts, True))
-    found = placed.groupBy("curve", "window", "part").applyInPandas(_search(nearest + 1), "query_id long, vec_id long, score double")
+    kind = np.float32 if _single(vectors, vector_col) and _single(queries, vector_col) else np.float64
+    placed = _placed(index, shape, edges, parts, False, kind).unionByName(_placed(one.select("vec_id", "vector"), shape, edges, parts, True, kind))
+    found = placed.groupBy("curve", "window", "part").applyInPandas(_search(nearest + 1, kind), "query_id long, vec_id long, score double")
     # At most nearest + 1 rows of each window, order and part: few for each query.
     best = found.groupBy("query_id").agg(F.collect_set(F.struct((-F.col("score")).alias("far"), "vec_id")).alias("every"))
     best = best.select("query_id", F.slice(F.array_sort("every"), 1, nearest + 1).alias("every")).join(one.select("same", F.col("vec_id").alias("query_id")), "query_id").drop("query_id")
