@@ -33,6 +33,11 @@ def read_records(spark: SparkSession, path: str, multi_line: bool = True) -> Dat
     return rows.withColumn("entity_id", strip(F.col("entity_id")))
 
 
+def ingest_records(records: DataFrame, path: str) -> None:
+    """Stores records as Parquet by country, so that later scans are split, pruned by column and by country."""
+    records.withColumn("country_part", F.col("country")).write.mode("overwrite").partitionBy("country_part").parquet(path)
+
+
 def read_lists(spark: SparkSession, path: str, header: tuple[str, ...] = TRUTH_HEADER, check_duplicates: bool = True) -> DataFrame:
     """Lists of a match file, an entity a row: the last row of a repeated entity counts. Raises ValueError for another header, or a list that repeats an id."""
     head = spark.read.text(path).limit(1).collect()

@@ -106,6 +106,8 @@ def test_sources(spark, folder):
     c = audit_runs.standard_catalog(spark, str(folder))
     assert all(r.passed for r in c.checks().collect())
     assert {r.business_name for r in c.records("train_S1").collect()} == {"Joe's Cafe", 'A "B" C'}
+    tsv.ingest_records(c.records("train_S1"), str(folder / "parquet"))
+    assert spark.read.parquet(str(folder / "parquet")).filter("country_part = 'US'").select("entity_id").collect()[0][0] == "S1-1"
     assert {r.id for r in tsv.read_ids(spark, c.paths["test_S2"], c.paths["test_S3"]).collect()} == {"S2-1", "S2-2", "S3-1", "S3-2"}
     assert [tuple(r) for r in tsv.numbered_lines(spark, c.paths["train_GT"]).orderBy("line").collect()][1] == (2, "S1-1\tS2-1,S3-1")
     (folder / "dup.tsv").write_text("source1_entity_id\tmatched_entity_ids\nS1-1\tS2-1\nS1-1\tS2-2\nS1-3\t\n")
