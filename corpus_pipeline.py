@@ -20,12 +20,17 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return scored.filter(F.col("__score") >= quality.THRESHOLD).select(*docs.columns)
 
 
+def _own(docs: DataFrame) -> DataFrame:
+    """Columns under names of their own, which no result of an operator has."""
+    return docs.select(*[F.col(c).alias(f"own_{c}") for c in docs.columns])
+
+
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the lines that a document of a smaller id holds; a text that loses all lines is empty, and a null text becomes empty. ``n_chars`` follows the text."""
-    kept = line_dedup.dedup_lines(docs).withColumn("text", F.col("kept"))
+    kept = line_dedup.dedup_lines(_own(docs), id_col="own_doc_id", text_col="own_text").withColumn("own_text", F.col("kept"))
     if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return kept.select(*docs.columns)
+        kept = kept.withColumn("own_n_chars", F.char_length("kept").cast(docs.schema["n_chars"].dataType))
+    return kept.select(*[F.col(f"own_{c}").alias(c) for c in docs.columns])
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +44,7 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it; null sources are one source, null texts have no words."""
-    mixed = mixing.pareto_mix(docs.select(*[F.col(c).alias(f"own_{c}") for c in docs.columns]), id_col="own_doc_id", text_col="own_text", source_col="own_source", keep=tuple(f"own_{c}" for c in docs.columns))
+    mixed = mixing.pareto_mix(_own(docs), id_col="own_doc_id", text_col="own_text", source_col="own_source", keep=tuple(f"own_{c}" for c in docs.columns))
     taken = mixed.filter(F.col("copies") > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return taken.select(*[F.col(f"own_{c}").alias(c) for c in docs.columns])
 
