@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.llm.store import small_batches
+
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 #: Unicode's White_Space property.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -255,7 +257,7 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
             arrays = [batch.column(0), pa.array(sizes), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values), type=schema.field(2).type)]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, ENCODED)
+    return small_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))).mapInArrow(run, ENCODED)
 
 
 DECODED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.ArrayType(T.IntegerType(), False)), T.StructField("decoded", T.StringType())])

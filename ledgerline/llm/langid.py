@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.llm.store import small_batches
 from ledgerline.llm.training import sampling_number
 
 #: Characters of training text of a language, and the texts drawn for them, about.
@@ -195,4 +196,4 @@ def predict_languages(docs: DataFrame, texts: dict[str, str], id_col: str = "doc
                 arrays = [batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "lang_pred", "score"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, PREDICTED)
+    return small_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))).mapInArrow(run, PREDICTED)

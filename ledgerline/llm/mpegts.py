@@ -18,8 +18,11 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.llm.store import small_batches
+
 PACKET = 188
 BODY = 184
 SYNC = 0x47
@@ -257,9 +260,7 @@ def encode_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 media.append(to_transport_stream(raw + bytes(-len(raw) % 64 if raw else 64), unit, sample_rate))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())], schema=schema)
 
-    from pyspark.sql import functions as F
-
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(pack, MEDIA)
+    return small_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))).mapInArrow(pack, MEDIA)
 
 
 READ = T.StructType(

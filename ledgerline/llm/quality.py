@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.llm.store import small_batches
 from ledgerline.llm.training import class_sample
 
 #: Hashed features; a power of two.
@@ -75,7 +76,7 @@ def sampled_features(docs: DataFrame, sample: DataFrame, extract, id_col: str =
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     joined = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text")
-    rows = [(r[0], r[1], np.frombuffer(bytes(r[2]), np.int32).astype(np.int64)) for r in joined.mapInArrow(run, kind).collect()]
+    rows = [(r[0], r[1], np.frombuffer(bytes(r[2]), np.int32).astype(np.int64)) for r in small_batches(joined).mapInArrow(run, kind).collect()]
     return sorted(rows, key=lambda r: (r[0], r[1], r[2].tobytes()))
 
 
@@ -172,14 +173,18 @@ def score_texts(docs: DataFrame, model, extract, id_col: str = "doc_id", text_co
     kind = T.StructType([*[docs.schema[c] for c in keep], T.StructField("__id", T.LongType()), T.StructField("__score", T.DoubleType())])
     names = [f.name for f in kind]
 
+    # A text that is kept anyway travels once.
+    at = keep.index(text_col) if text_col in keep and isinstance(docs.schema[text_col].dataType, T.StringType) else len(keep) + 1
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         for batch in batches:
-            scores = pa.array([m.score(extract(t)) for t in batch.column(batch.num_columns - 1).to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], scores], names=names)
+            scores = pa.array([m.score(extract(t.as_py())) for t in batch.column(at)], pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep) + 1], scores], names=names)
 
-    own = [F.col(c) for c in keep] + [F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("__text")]
-    return docs.select(*own).mapInArrow(run, kind)
+    own = [F.col(c) for c in keep] + [F.col(id_col).cast("long").alias("__id")]
+    own += [F.col(text_col).cast("string").alias("__text")] if at > len(keep) else []
+    return small_batches(docs.select(*own)).mapInArrow(run, kind)
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed: int = 0, label_col: str = "quality") -> LinearModel:

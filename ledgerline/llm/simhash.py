@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ledgerline.llm.components import connected_components
-from ledgerline.llm.store import Shared
+from ledgerline.llm.store import Shared, small_batches
 
 BITS = 64
 BLOCKS = 6
@@ -69,7 +69,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fps = np.array([fingerprint(t, width) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=["doc_id", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, FINGERPRINTS)
+    return small_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))).mapInArrow(run, FINGERPRINTS)
 
 
 def block_masks(n_bits: int, blocks: int, shared: int, bits: list[int] | None = None) -> list[int]:

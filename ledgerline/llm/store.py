@@ -22,6 +22,19 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Rows that go to a Python worker at a time, and the setting that says so.
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+SPARKS_OWN, TEXTS_AT_ONCE = 10_000, 1000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Has texts go to Python workers in small batches, which bounds the workers' memory. A session that has set its own size keeps it."""
+    conf = df.sparkSession.conf
+    if int(conf.get(BATCH_SETTING)) == SPARKS_OWN:
+        conf.set(BATCH_SETTING, TEXTS_AT_ONCE)
+    return df
+
+
 class Shared:
     """Writes tables under one run's own folder and reads them back: computed once, and kept when executors are lost.
 
