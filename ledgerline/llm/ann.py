@@ -8,7 +8,9 @@ own window and of both neighbouring ones, in every order; what the orders find
 is merged and ranked by the cosine of the original vectors.
 
 Windows hold about N ** WINDOW_POWER rows, so work grows as the queries times
-that, and windows of many rows are searched in parts.
+that, and windows of many rows are searched in parts. An order then meets a
+share of the table that falls with N; beyond FEW rows the orders grow in number
+with a small power of N, which holds the recall.
 """
 
 from __future__ import annotations
@@ -27,7 +29,10 @@ from pyspark.sql.window import Window
 from ledgerline.llm.store import Shared
 from ledgerline.llm.training import sampling_number
 
+#: Orders of up to FEW rows, and the power of N by which they grow beyond.
 CURVES = 8
+FEW = 60_000
+CURVE_POWER = 0.12
 #: Dimensions of a projection and bits of each.
 DIMENSIONS = 4
 BITS = 12
@@ -39,6 +44,11 @@ PART = 32_768
 NEAREST = 5
 
 
+def curves_for(n: int) -> int:
+    """Orders that a table of ``n`` rows is put in."""
+    return math.ceil(CURVES * max(1.0, n / FEW) ** CURVE_POWER)
+
+
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
     """The place of each cell (a row of coordinates below ``2 ** bits``) on the Hilbert curve: Gray-code rotations of the coordinates' bits, then the bits interleaved."""
     x = cells.astype(np.uint64).copy()
@@ -177,14 +187,14 @@ def _search(nearest: int, kind: type):
     return run
 
 
-def nearest_neighbours(vectors: DataFrame, queries: DataFrame, nearest: int = NEAREST, curves: int = CURVES, seed: int = 0, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def nearest_neighbours(vectors: DataFrame, queries: DataFrame, nearest: int = NEAREST, curves: int | None = None, seed: int = 0, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row of ``queries`` the ``nearest`` rows of ``vectors`` found but its own id, by falling cosine, ties to the smaller id.
 
     Vectors that are null, zero, or hold null or non-finite components take no
     part, nor do those of another length than most have (the shorter of equally
     many). A repeated row counts once; an id with several vectors is met under
     each. Empty tables give an empty result. Only ``id_col`` and ``vector_col``
-    are read.
+    are read. ``curves`` orders are made, or as many as ``curves_for`` has.
     """
     spark = vectors.sparkSession
     shared = Shared(spark)
@@ -198,6 +208,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, nearest: int = NE
     asked = usable(queries, id_col, vector_col).filter(F.size("vector") == width).distinct()
     # Equal queries are one; whoever asks leaves out its own id among one more than is due.
     one = asked.groupBy("same").agg(F.min("vec_id").alias("vec_id"), F.min("vector").alias("vector"))
+    curves = curves or curves_for(n)
     shape = Curves(width, curves, seed=seed)
     n_windows = max(1, math.ceil(n / max(1.0, n**WINDOW_POWER)))
     parts = max(1, math.ceil(n / n_windows / PART))

@@ -47,3 +47,31 @@ def test_recall(spark, monkeypatch):
     got = {(r.query_id, r.vec_id) for r in ann.nearest_neighbours(df, df.filter("vec_id % 50 = 0")).collect()}
     want = {(q, i) for q, _, i, _ in brute(list(enumerate(v)), [(q, v[q]) for q in range(0, 3000, 50)], 5)}
     assert len(got & want) >= 0.9 * len(want)
+
+
+def test_orders_hold_the_recall_of_a_million_vectors():
+    """The windows alone, without Spark: the share of the true nearest that lie in a window that is met in some order."""
+    rng = np.random.default_rng(1)
+    n, nearest = 1_000_000, 5
+    v = rng.standard_normal((n, 64), dtype=np.float32)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    queries = rng.choice(n, 200, replace=False)
+    top = np.concatenate([np.argpartition(-(v @ v[q]), nearest)[: nearest + 1][None] for q in queries])
+    shape = ann.Curves(64, ann.curves_for(n))
+    sample, own, others = (shape.keys(v[rows.ravel()].astype(float)) for rows in (rng.choice(n, ann.SAMPLE), queries, top))
+    n_windows = int(np.ceil(n / n**ann.WINDOW_POWER))
+    met = np.zeros(top.shape, bool)
+    for k in range(len(shape.axes)):
+        edges = np.quantile(sample[:, k], np.arange(1, n_windows) / n_windows)
+        met |= np.abs(np.searchsorted(edges, own[:, k])[:, None] - np.searchsorted(edges, others[:, k]).reshape(top.shape)) <= 1
+    assert met[top != queries[:, None]].mean() >= 0.93
+
+
+def test_more_rows_are_put_in_more_orders(spark, monkeypatch):
+    assert [ann.curves_for(n) for n in (1, 51_282, 1_000_000, 3_080_000)] == [8, 8, 12, 13]
+    made = []
+    monkeypatch.setattr(ann, "FEW", 10)
+    monkeypatch.setattr(ann, "Curves", lambda width, curves, kind=ann.Curves, **more: made.append(curves) or kind(width, curves, **more))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(np.random.default_rng(2).standard_normal((500, 8)))], "vec_id long, embedding array<double>")
+    assert ann.nearest_neighbours(df, df.filter("vec_id < 3")).count() == 15
+    assert made == [ann.curves_for(500)] and made[0] > ann.CURVES
