@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, line_dedup, mixing, quality, simhash
+from ledgerline.llm import bpe, line_dedup, mixing, near_texts, quality
 from ledgerline.llm.queries import quality_model, tokenizer_path
 from ledgerline.llm.store import Shared
 
@@ -34,10 +34,11 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near-copies. Of several rows with one id one stays; rows without an id can't be told apart and all stay."""
+    """The document of the smallest id of each group of near-copies: texts linked by a Jaccard overlap of 0.8 or more of their five-word shingles. Of several rows with one id one stays; rows without an id can't be told apart and all stay."""
     named = docs.filter(F.col("doc_id").isNotNull())
-    groups = simhash.near_duplicates(named)
-    chosen = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    ids = named.groupBy(near_texts.text_key(F.col("text")).alias("node")).agg(F.min("doc_id").alias("doc_id"))
+    groups = ids.join(near_texts.components(named, Shared(spark)), "node", "left")
+    chosen = groups.groupBy(F.coalesce("component", "node")).agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
     kept = named.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
 
