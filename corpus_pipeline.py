@@ -34,13 +34,18 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near-copies: texts linked by a Jaccard overlap of 0.8 or more of their five-word shingles. Of several rows with one id one stays; rows without an id can't be told apart and all stay."""
+    """The row of the smallest id, then text hash, of each group of near-copies: texts linked by a Jaccard overlap of 0.8 or more of their five-word shingles. Rows that share an id but not a group each count in their own; rows without an id can't be told apart and all stay."""
     named = docs.filter(F.col("doc_id").isNotNull())
-    ids = named.groupBy(near_texts.text_key(F.col("text")).alias("node")).agg(F.min("doc_id").alias("doc_id"))
-    groups = ids.join(near_texts.components(named, Shared(spark)), "node", "left")
-    chosen = groups.groupBy(F.coalesce("component", "node")).agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    kept = named.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+    others = [F.col(f"own_{c}") for c in docs.columns if c not in ("doc_id", "text")]
+    # The row's key: its id, its text's and a hash of its other columns.
+    rows = _own(named).withColumn("node", near_texts.text_key(F.col("own_text")))
+    rows = rows.withColumn("key", F.struct(F.col("own_doc_id").alias("doc_id"), "node", F.md5(F.to_json(F.struct(F.col("own_text").isNull().alias("none"), *others)).cast("binary")).alias("rest")))
+    first = rows.groupBy("node").agg(F.min("key").alias("key"))
+    groups = first.join(near_texts.components(named, Shared(spark)), "node", "left")
+    chosen = groups.groupBy(F.coalesce("component", "node")).agg(F.min("key").alias("key")).select("key.*")
+    rows = rows.drop("node").select(*[F.col(f"own_{c}") for c in docs.columns], "key.*")
+    kept = rows.join(chosen, ["doc_id", "node", "rest"], "left_semi").dropDuplicates(["doc_id", "node", "rest"])
+    return kept.select(*[F.col(f"own_{c}").alias(c) for c in docs.columns]).unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,3 +50,13 @@ def test_shared_bands():
         a, b = near_texts.bands(own[:162]), near_texts.bands(own[18:])
         missed += not set(a) & set(b)
     assert missed <= 1
+
+
+def test_rows_of_one_id_count_in_their_own_groups(spark):
+    """Id 1 has a text of its own and is the smallest of two components; which row stays doesn't depend on the partitioning."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(100)) for x in "abc")
+    rows = [(1, a, "s"), (1, b, "s"), (1, b, "t"), (1, b, "t"), (2, a + " more", "s"), (3, b + " more", "s"), (4, c, "s"), (None, c, "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    runs = [sorted(corpus_pipeline.keep_one_of_near_copies(spark, d, "").collect(), key=str) for d in (docs.coalesce(1), docs.orderBy(docs.text.desc()).repartition(7))]
+    assert runs[0] == runs[1]
+    assert sorted((str(r.doc_id), r.text) for r in runs[0]) == [("1", a), ("1", b), ("4", c), ("None", c)]
