@@ -5,7 +5,9 @@ into phrases, each the longest run of characters that occurs somewhere in the
 language's text; the language that needs the fewest phrases for the text's
 length wins. All texts of a batch are parsed side by side, a character a step,
 over the automaton's transitions as one table: where a state has no transition
-the phrase ends and the next one begins with that character.
+the phrase ends and the next one begins with that character. The table has the
+language's most frequent characters; transitions by the others are few, and are
+looked up in a sorted list.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from ledgerline.llm.training import sampling_number
 #: Characters of training text of a language, and the texts drawn for them, about.
 CHARACTERS = 40_000
 TEXTS = 400
-#: Characters that an automaton tells apart: the language's most frequent; the rest are alike, and occur nowhere.
+#: Characters that have a column of the table: the language's most frequent.
 ALPHABET = 63
 #: Characters that are parsed in one piece: a longer text is cut into pieces of this length, each of which starts a phrase.
 PIECE = 1 << 12
@@ -77,21 +79,37 @@ class Parser:
     def __init__(self, text: str) -> None:
         cps = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         known, counts = np.unique(cps, return_counts=True)
-        known = known[np.lexsort([known, -counts])][:ALPHABET]
+        known = known[np.lexsort([known, -counts])]
+        numbers = np.arange(len(known))
+        #: ALPHABET stands for what occurs nowhere in the text, more for the less frequent characters.
         self.symbol = np.full(0x110000, ALPHABET, np.int32)
-        self.symbol[known] = np.arange(len(known))
-        go = SuffixAutomaton([s for s in self.symbol[cps].tolist() if s < ALPHABET]).go
+        self.symbol[known] = numbers + (numbers >= ALPHABET)
+        self.symbols = len(known) + 1
+        go = SuffixAutomaton(self.symbol[cps].tolist()).go
         width = ALPHABET + 1
         #: Next state's row, with 1 in the lowest bit where a phrase begins with the character.
         table = np.zeros((len(go), width), np.int32)
-        first = np.array([go[0].get(c, 0) for c in range(width)], np.int32)
-        table[:] = first * width * 2 + 1
+        first = np.array([go[0].get(c, 0) for c in range(max(width, self.symbols))], np.int32)
+        table[:] = first[:width] * width * 2 + 1
+        rare: dict[int, int] = {}
         for state, out in enumerate(go):
             for c, to in out.items():
-                table[state, c] = to * width * 2
+                if c < ALPHABET:
+                    table[state, c] = to * width * 2
+                else:
+                    rare[state * width * self.symbols + c] = to * width * 2 + (state == 0)
         # At the root every character begins a phrase.
         table[0] |= 1
         self.table = table.ravel()
+        self.begins = first * width * 2 + 1
+        self.rare = np.array(sorted(rare), np.int64)
+        self.rare_next = np.array([rare[k] for k in self.rare.tolist()], np.int32)
+
+    def after(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """The table's entries for the less frequent characters."""
+        key = state.astype(np.int64) * self.symbols + symbol
+        at = np.minimum(np.searchsorted(self.rare, key), len(self.rare) - 1)
+        return np.where(self.rare[at] == key, self.rare_next[at], self.begins[symbol])
 
 
 def _phrase_counts(parsers: list[Parser], texts: list[str]) -> np.ndarray:
@@ -117,11 +135,18 @@ def _phrase_counts(parsers: list[Parser], texts: list[str]) -> np.ndarray:
     rows = list(zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True))
     for column, parser in enumerate(parsers):
         symbols, table = parser.symbol[flat], parser.table
+        rare = np.flatnonzero(symbols > ALPHABET)
+        by_row = np.searchsorted(rare, begin).tolist()
+        others = symbols[rare]
+        symbols[rare] = ALPHABET
         state = np.zeros(len(pieces), np.int32)
         found = np.zeros(len(pieces), np.int32)
-        for a, b in rows:
+        for k, (a, b) in enumerate(rows):
             n = b - a
             reached = table[state[:n] + symbols[a:b]]
+            if by_row[k] < by_row[k + 1]:
+                own = slice(by_row[k], by_row[k + 1])
+                reached[rare[own] - a] = parser.after(state[rare[own] - a], others[own])
             found[:n] += reached & 1
             np.right_shift(reached, 1, out=state[:n])
         counts[:, column] = np.bincount(np.array(owner)[order], found, len(texts))
