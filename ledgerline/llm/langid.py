@@ -187,22 +187,30 @@ def training_texts(docs: DataFrame, characters: int = CHARACTERS, texts: int = T
     """Up to ``characters`` of normalised whole texts for each language, from about ``texts`` of its documents, drawn by a number that follows from the id.
 
     Rows with a null id, text or language are left out, and so are texts that
-    alone would pass the bound. What comes to the driver is bounded by the
-    languages, not by the documents.
+    alone would pass the bound; a language that this would leave with nothing
+    has a stretch of one of its texts, from the first letter. What comes to the
+    driver is bounded by the languages, not by the documents.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    rows = rows.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.length("text") <= characters))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
-        return {}
-    share = F.create_map(*[x for lang, n in sorted(counts.items()) for x in (F.lit(lang), F.lit(texts / n))])
-    drawn = rows.withColumn("u", sampling_number("doc_id", seed)).filter(F.col("u") < F.element_at(share, F.col("lang"))).collect()
+    every = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    every = every.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    fits = F.length("text") <= characters
+    counts = {r["lang"]: r["n"] for r in every.groupBy("lang").agg(F.count_if(fits).alias("n")).collect()}
+    every = every.withColumn("u", sampling_number("doc_id", seed))
+    drawn = []
+    if any(counts.values()):
+        share = F.create_map(*[x for lang, n in sorted(counts.items()) if n for x in (F.lit(lang), F.lit(texts / n))])
+        drawn = every.filter(fits & (F.col("u") < F.element_at(share, F.col("lang")))).collect()
     out: dict[str, str] = {}
     for r in sorted(drawn, key=lambda r: (r["u"], r["text"])):
         text = normalised(r["text"])
         if text and len(out.get(r["lang"], "")) + len(text) < characters:
             out[r["lang"]] = f"{out[r['lang']]} {text}" if r["lang"] in out else text
-    return out
+    if bare := sorted(set(counts) - set(out)):
+        stretch = F.expr(f"substring(text, regexp_instr(text, '[\\\\p{{L}}]'), {int(characters)})")
+        some = every.filter(F.col("lang").isin(bare) & F.col("text").rlike(r"\p{L}")).select("lang", F.struct("u", stretch.alias("text")).alias("one"))
+        for r in some.groupBy("lang").agg(F.min("one").alias("one")).collect():
+            out[r["lang"]] = normalised(r["one"]["text"])[: characters - 1].strip()
+    return {lang: text for lang, text in out.items() if text}
 
 
 PREDICTED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])

@@ -34,3 +34,15 @@ def test_languages_of_one_script_are_told_apart_by_their_rarer_characters():
     model = langid.LanguageModel({k: text(own) for k, own in words.items()})
     asked = [(" ".join(rng.choice(own) for _ in range(4)), k) for k, own in words.items() for _ in range(20)]
     assert [p for p, _ in model.predict([t for t, _ in asked])] == [k for _, k in asked]
+
+
+def test_a_language_of_long_texts_only_is_learned(spark):
+    rows = [(k, "the cat sat on a mat. " * 3, "en") for k in range(5)] + [(10 + k, "12 " * 300 + "кот сидел на ковре. " * 60, "ru") for k in range(3)] + [(20, "ab " * 100, "edge"), (30, "7 " * 400, "none"), (31, None, "null")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    texts = langid.training_texts(docs, characters=300)
+    assert set(texts) == {"en", "ru", "edge"} and all(len(t) < 300 for t in texts.values())
+    assert set(texts["ru"]) <= set("кот сидел на ковре")
+    got = {r.doc_id: r.lang_pred for r in langid.predict_languages(docs, texts).collect()}
+    assert [got[k] for k in (0, 10, 20, 30)] == ["en", "ru", "edge", "und"]
+    assert set(langid.training_texts(docs.filter("lang = 'ru'"), characters=300)) == {"ru"}
+    assert langid.training_texts(docs, characters=300) == langid.training_texts(docs.repartition(5), characters=300)
