@@ -6,6 +6,7 @@ follows from groups, not from rows. Every figure of a report is computed.
 
 from __future__ import annotations
 
+import tempfile
 import time
 from collections.abc import Callable
 from dataclasses import asdict, dataclass
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators import audits, edges, recall, scoring, split
+from ledgerline.operators.validation import validate_results
 from ledgerline.sources import sinks
 from ledgerline.sources.tsv import Catalog, telemetry
 
@@ -83,8 +85,18 @@ def timed(stage: str, rows: int, n_edges: int, action: Callable[[], object], sha
     return {"stage": stage, "rows_processed": rows, "edges_processed": n_edges, "wall_clock_sec": s, "throughput_rows_sec": rows / s, "throughput_edges_sec": n_edges / s, "linear_extrapolation_100pct_sec": s / share}
 
 
-def benchmark(entities: DataFrame, truth: DataFrame, seed: int = 42, fraction: float = 0.01) -> list[dict[str, object]]:
-    """Times the split, explosion, scoring and recall over a stratified sample. Its predictions are all but one true target, and one false one."""
+def _write_scores(scores: DataFrame) -> None:
+    """All rows of the scores as one file, which is removed."""
+    with tempfile.TemporaryDirectory() as folder:
+        sinks.write_report_csv(scores, f"{folder}/scores.csv")
+
+
+def benchmark(entities: DataFrame, truth: DataFrame, seed: int = 42, fraction: float = 0.01, catalog: Catalog | None = None) -> list[dict[str, object]]:
+    """Times the split, explosion, scoring, recall and the writing of scores over a stratified sample. Its predictions are all but one true target, and one false one.
+
+    With a catalog, the reading of S1 and of the truth, and the validator with
+    the truth as results, are timed over the whole files.
+    """
     sample = split.stratified_sample(entities, fraction, seed).cache()
     own = truth.join(sample.select("s1_id"), "s1_id", "left_semi").select("s1_id", "target_id").cache()
     n, m = sample.count(), own.count()
@@ -99,9 +111,15 @@ def benchmark(entities: DataFrame, truth: DataFrame, seed: int = 42, fraction: f
         "gt_expansion": run(edges.explode_lists(edges.implode_lists(sample, own))),
         "macro_f05_scoring": run(scoring.score_summary(scores)),
         "blocking_recall": run(recall.edge_recall(own, predictions)),
-        "serialisation": lambda: scores.toLocalIterator(),
+        "serialisation": lambda: _write_scores(scores),
     }
-    out = [timed(k, n, m, f, fraction) for k, f in stages.items()]
+    out = []
+    if catalog is not None:
+        n_all, m_all = entities.count(), truth.count()
+        out.append(timed("tsv_reading", catalog.records("train_S1").count(), 0, lambda: run(catalog.records("train_S1"))()))
+        out.append(timed("gt_parsing", n_all, m_all, lambda: run(edges.explode_lists(catalog.truth()))()))
+        out.append(timed("validator", n_all, m_all, lambda: validate_results(catalog.spark, catalog.paths["train_GT"], catalog.paths["train_S1"])))
+    out += [timed(k, n, m, f, fraction) for k, f in stages.items()]
     for df in (predictions, own, sample):
         df.unpersist()
     return out
@@ -133,7 +151,7 @@ def validation_foundation(catalog: Catalog, output_dir: str, seed: int = 42, val
         "stratification_fields": ["country", "multiplicity_bucket"], "counts_by_country": counts("country"), "counts_by_multiplicity_bucket": counts("bucket"), "counts_by_stratum": counts("country", "bucket"),
     }
     leak = split.leakage_summary(folds, truth).first().asDict()
-    stages = benchmark(bucketed, truth, seed)
+    stages = benchmark(bucketed, truth, seed, catalog=catalog)
     sinks.write_dicts_csv(stages, f"{output_dir}/benchmark.csv")
     out = {"telemetry": telemetry(spark), "integrity": sound, "split": manifest, "strata": strata, "leakage": leak, "overlap": _rows(overlap), "benchmark": stages, "duration_sec": time.perf_counter() - began}
     sinks.write_json(manifest, f"{output_dir}/split_manifest.json")
