@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 
 from ledgerline.llm import ann
 
@@ -39,39 +40,77 @@ def test_fewer_candidates_than_asked(spark):
     assert [(r.query_id, r.vec_id, r.score) for r in ann.nearest_neighbours(df, df.filter("vec_id = 0")).collect()] == [(0, 1, 0.0)]
 
 
-def test_recall(spark, monkeypatch):
-    monkeypatch.setattr(ann, "PART", 100)
+def test_recall_of_small_windows(spark):
     rng = np.random.default_rng(6)
-    v = rng.standard_normal((3000, 32))
-    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
-    got = {(r.query_id, r.vec_id) for r in ann.nearest_neighbours(df, df.filter("vec_id % 50 = 0")).collect()}
-    want = {(q, i) for q, _, i, _ in brute(list(enumerate(v)), [(q, v[q]) for q in range(0, 3000, 50)], 5)}
-    assert len(got & want) >= 0.9 * len(want)
+    v = rng.standard_normal((20_000, 64)).astype(np.float32)
+    df = spark.createDataFrame(pa.table({"vec_id": pa.array(range(len(v))), "embedding": pa.array(list(v), pa.list_(pa.float32()))}))
+    got = {(r.query_id, r.vec_id) for r in ann.nearest_neighbours(df, df.filter("vec_id % 200 = 0")).collect()}
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    near = unit[::200] @ unit.T
+    near[np.arange(100), np.arange(0, 20_000, 200)] = -2
+    want = {(200 * q, int(i)) for q, row in enumerate(near) for i in np.argsort(-row)[:5]}
+    assert len(got) == 500 and len(got & want) >= 0.9 * len(want)
 
 
-def test_orders_hold_the_recall_of_a_million_vectors():
-    """The windows alone, without Spark: the share of the true nearest that lie in a window that is met in some order."""
+def windows_alone(v, queries, nearest=5):
+    """Without Spark: the share of the true nearest that lie in a window that is met, and the rows that a query meets, as a share of the table."""
+    n = len(v)
+    rng = np.random.default_rng(3)
+    units = ann.half_units(v)
+    top = np.concatenate([np.argpartition(-(units[q].astype(np.float32) @ units.astype(np.float32).T), nearest)[: nearest + 1][None] for q in queries])
+    shape = ann.Curves(units[rng.choice(n, ann.SAMPLE)], n)
+    row, place = shape.lookups(units[queries], ann.places_for(n))
+    own = [shape.places(shape.projected(units, c), c) for c in range(shape.curves)]
+    every = np.concatenate(own)
+    order = np.argsort(every, kind="stable")
+    edges, windows, asked = ann._windows_met(every[order], order, place, np.zeros(len(place), np.int64), row, ann.WINDOW)
+    window_of = np.empty(len(every), np.int64)
+    window_of[order] = np.searchsorted(edges, np.arange(len(every)), side="right") - 1
+    found = np.zeros(top.shape, bool)
+    for k in range(len(queries)):
+        met = windows[asked == k]
+        found[k] = np.isin(window_of.reshape(shape.curves, n)[:, top[k]], met).any(axis=0)
+    return found[top != np.array(queries)[:, None]].mean(), len(windows) * ann.WINDOW / len(queries) / n
+
+
+def test_a_falling_share_of_the_table_holds_the_recall():
     rng = np.random.default_rng(1)
-    n, nearest = 1_000_000, 5
-    v = rng.standard_normal((n, 64), dtype=np.float32)
-    v /= np.linalg.norm(v, axis=1, keepdims=True)
-    queries = rng.choice(n, 200, replace=False)
-    top = np.concatenate([np.argpartition(-(v @ v[q]), nearest)[: nearest + 1][None] for q in queries])
-    shape = ann.Curves(64, ann.curves_for(n))
-    sample, own, others = (shape.keys(v[rows.ravel()].astype(float)) for rows in (rng.choice(n, ann.SAMPLE), queries, top))
-    n_windows = int(np.ceil(n / n**ann.WINDOW_POWER))
-    met = np.zeros(top.shape, bool)
-    for k in range(len(shape.axes)):
-        edges = np.quantile(sample[:, k], np.arange(1, n_windows) / n_windows)
-        met |= np.abs(np.searchsorted(edges, own[:, k])[:, None] - np.searchsorted(edges, others[:, k]).reshape(top.shape)) <= 1
-    assert met[top != queries[:, None]].mean() >= 0.93
-
-
-def test_more_rows_are_put_in_more_orders(spark, monkeypatch):
-    assert [ann.curves_for(n) for n in (1, 51_282, 1_000_000, 3_080_000)] == [8, 8, 12, 13]
-    made = []
-    monkeypatch.setattr(ann, "FEW", 10)
-    monkeypatch.setattr(ann, "Curves", lambda width, curves, kind=ann.Curves, **more: made.append(curves) or kind(width, curves, **more))
-    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(np.random.default_rng(2).standard_normal((500, 8)))], "vec_id long, embedding array<double>")
-    assert ann.nearest_neighbours(df, df.filter("vec_id < 3")).count() == 15
-    assert made == [ann.curves_for(500)] and made[0] > ann.CURVES
+    shares = []
+    for n in (50_000, 400_000):
+        v = rng.standard_normal((n, 64), dtype=np.float32)
+        recall, met = windows_alone(v, rng.choice(n, 100, replace=False))
+        assert recall >= 0.88
+        shares.append(met)
+    assert shares[0] < 0.6 and shares[1] < 0.27
+
+
+def test_vectors_in_groups_need_a_small_share():
+    rng = np.random.default_rng(2)
+    n = 400_000
+    v = np.repeat(rng.standard_normal((n // 50, 64), dtype=np.float32), 50, axis=0) + 0.5 * rng.standard_normal((n, 64), dtype=np.float32)
+    queries = rng.choice(n, 100, replace=False)
+    few = ann.places_for
+    try:
+        ann.places_for = lambda n: 48
+        recall, met = windows_alone(v, queries)
+    finally:
+        ann.places_for = few
+    assert recall >= 0.9 and met < 0.05
+
+
+def test_lengths_beyond_the_squares_of_doubles_and_several_widths(spark):
+    rows = [(0, [1e200, 1e200]), (1, [1e-200, 2e-200]), (2, [3.0, 3.0]), (3, [-1.0, 0.0]), (4, [1.0, 0.0, 0.0]), (50, [0.0, 1.0, 0.0]), (5, [0.0, 2.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r.query_id, r["rank"], r.vec_id, round(r.score, 12)) for r in ann.nearest_neighbours(df, df.filter("vec_id % 50 = 0")).orderBy("query_id", "rank").collect()]
+    assert got == [(0, 1, 2, 1.0), (0, 2, 1, round(3 / 10**0.5, 12)), (0, 3, 3, round(-(0.5**0.5), 12)), (50, 1, 5, 1.0), (50, 2, 4, 0.0)]
+
+
+def test_a_crowd_in_one_direction_is_parted(spark, monkeypatch):
+    """Different vectors of one direction have one place; their salts part them, and each range searches its share."""
+    monkeypatch.setattr(ann, "SMALL", 10)
+    monkeypatch.setattr(ann, "RANGE", 2000)
+    rng = np.random.default_rng(8)
+    crowd = [(i, [float(i + 1), 0.0, 0.0]) for i in range(2000)]
+    df = spark.createDataFrame(crowd + [(5000 + i, x.tolist()) for i, x in enumerate(rng.standard_normal((500, 3)))], "vec_id long, embedding array<double>")
+    got = ann.nearest_neighbours(df, df.filter("vec_id in (0, 50)")).collect()
+    assert len(got) == 10 and all(r.score == 1.0 and r.vec_id < 2000 for r in got)
