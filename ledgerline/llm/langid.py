@@ -7,7 +7,9 @@ length wins. All texts of a batch are parsed side by side, a character a step,
 over the automaton's transitions as one table: where a state has no transition
 the phrase ends and the next one begins with that character. The table has the
 language's most frequent characters; transitions by the others are few, and are
-looked up in a sorted list.
+looked up in a sorted list. A long text is parsed in pieces side by side, as if
+each began a phrase; then each piece is parsed again from the state that the piece
+before it ends in, until both ways are in one state, from where they agree.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.llm.store import small_batches
+from ledgerline.llm.tokens import code_points, groups, letters
 from ledgerline.llm.training import sampling_number
 
 #: Characters of training text of a language, and the texts drawn for them, about.
@@ -30,16 +33,26 @@ CHARACTERS = 40_000
 TEXTS = 400
 #: Characters that have a column of the table: the language's most frequent.
 ALPHABET = 63
-#: Characters that are parsed in one piece: a longer text is cut into pieces of this length, each of which starts a phrase.
+#: Characters of a long text that are parsed in one piece.
 PIECE = 1 << 12
-#: Texts that are parsed side by side.
-ROWS = 2048
+#: Characters of texts that are parsed side by side, about.
+TOGETHER = 1 << 22
 UNKNOWN = "und"
 
 
+def clean(text: str | None) -> np.ndarray:
+    """The code points of a text in lower case, with each run of what isn't a letter as one blank, none at the ends."""
+    cps = letters()[code_points(text or "")]
+    letter = np.flatnonzero(cps != 0x20)
+    if not len(letter):
+        return cps[:0]
+    cps = cps[letter[0] : letter[-1] + 1]
+    return cps[(cps != 0x20) | np.concatenate([[False], cps[:-1] != 0x20])]
+
+
 def normalised(text: str) -> str:
-    """Lower case, with each run of what isn't a letter as one blank."""
-    return " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split())
+    """A cleaned text as a string."""
+    return clean(text).tobytes().decode("utf-32-le")
 
 
 class SuffixAutomaton:
@@ -105,6 +118,13 @@ class Parser:
         self.rare = np.array(sorted(rare), np.int64)
         self.rare_next = np.array([rare[k] for k in self.rare.tolist()], np.int32)
 
+    def step(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """The table's entries for any characters."""
+        reached = self.table[state + np.minimum(symbol, ALPHABET)]
+        if len(rare := np.flatnonzero(symbol > ALPHABET)):
+            reached[rare] = self.after(state[rare], symbol[rare])
+        return reached
+
     def after(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
         """The table's entries for the less frequent characters."""
         key = state.astype(np.int64) * self.symbols + symbol
@@ -112,18 +132,17 @@ class Parser:
         return np.where(self.rare[at] == key, self.rare_next[at], self.begins[symbol])
 
 
-def _phrase_counts(parsers: list[Parser], texts: list[str]) -> np.ndarray:
+def _phrase_counts(parsers: list[Parser], texts: list[np.ndarray]) -> np.ndarray:
     """A row for each text, a column for each parser: how many phrases the text needs."""
     pieces, owner = [], []
-    for k, t in enumerate(texts):
-        cps = np.frombuffer(t.encode("utf-32-le"), np.uint32)
+    for k, cps in enumerate(texts):
         for at in range(0, len(cps), PIECE):
             pieces.append(cps[at : at + PIECE])
             owner.append(k)
     counts = np.zeros((len(texts), len(parsers)), np.int64)
     if not pieces:
         return counts
-    sizes = np.array([len(p) for p in pieces])
+    sizes, owner = np.array([len(p) for p in pieces]), np.array(owner)
     order = np.argsort(-sizes, kind="stable")
     # One row for each position: the characters of all pieces that are so long, longest piece first.
     longest = int(sizes.max())
@@ -149,10 +168,51 @@ def _phrase_counts(parsers: list[Parser], texts: list[str]) -> np.ndarray:
                 reached[rare[own] - a] = parser.after(state[rare[own] - a], others[own])
             found[:n] += reached & 1
             np.right_shift(reached, 1, out=state[:n])
-        counts[:, column] = np.bincount(np.array(owner)[order], found, len(texts))
+        by_piece, ends = np.empty(len(pieces), np.int64), np.empty(len(pieces), np.int32)
+        by_piece[order], ends[order] = found, state
+        _join_pieces(parser, pieces, owner, by_piece, ends)
+        counts[:, column] = np.bincount(owner, by_piece, len(texts))
     return counts
 
 
+def _join_pieces(parser: Parser, pieces: list[np.ndarray], owner: np.ndarray, counts: np.ndarray, ends: np.ndarray) -> None:
+    """Corrects the counts of pieces, and the states that they end in, for what the piece before hands over."""
+    due = np.flatnonzero(owner[1:] == owner[:-1]) + 1
+    fresh_counts, fresh_ends = counts.copy(), ends.copy()
+    while len(due):
+        lanes, true, fresh = due, ends[due - 1], np.zeros(len(due), np.int32)
+        more = np.zeros(len(due), np.int64)
+        later = []
+        for k in range(PIECE):
+            done = true == fresh
+            over = ~done & (np.array([len(pieces[x]) for x in lanes]) <= k)
+            counts[lanes[done]] = fresh_counts[lanes[done]] + more[done]
+            # A piece that ends first hands on another state than was thought.
+            counts[lanes[over]] = fresh_counts[lanes[over]] + more[over]
+            later += lanes[over & (ends[lanes] != true)].tolist()
+            ends[lanes[over]] = true[over]
+            changed = lanes[done & (ends[lanes] != fresh_ends[lanes])]
+            later += changed.tolist()
+            ends[changed] = fresh_ends[changed]
+            going = ~done & ~over
+            lanes, true, fresh, more = lanes[going], true[going], fresh[going], more[going]
+            if not len(lanes):
+                break
+            symbol = parser.symbol[np.array([pieces[x][k] for x in lanes])]
+            one, two = parser.step(true, symbol), parser.step(fresh, symbol)
+            more += (one & 1) - (two & 1)
+            true, fresh = one >> 1, two >> 1
+        else:
+            done = true == fresh
+            counts[lanes] = fresh_counts[lanes] + more
+            now = np.where(done, fresh_ends[lanes], true)
+            later += lanes[ends[lanes] != now].tolist()
+            ends[lanes] = now
+        after = np.array(sorted(set(later)), np.int64) + 1
+        after = after[after < len(pieces)]
+        due = after[owner[after] == owner[after - 1]]
+
+
 class LanguageModel:
     """Parsers of the languages' texts; picks the language of the fewest phrases for the length."""
 
@@ -163,12 +223,12 @@ class LanguageModel:
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """The language and a score for each text: the best language's share of the weights 2^(-phrases for a hundred characters). Without a letter, or without a language, it is UNKNOWN with score 0; ties go to the language first by code point."""
         out = [(UNKNOWN, 0.0)] * len(texts)
-        clean = [normalised(t) if t else "" for t in texts]
-        own = [k for k, t in enumerate(clean) if t]
+        cleaned = [clean(t) for t in texts]
+        own = [k for k, t in enumerate(cleaned) if len(t)]
         if not self.parsers or not own:
             return out
-        counts = _phrase_counts(self.parsers, [clean[k] for k in own])
-        rates = 100.0 * counts / np.array([[len(clean[k])] for k in own])
+        counts = _phrase_counts(self.parsers, [cleaned[k] for k in own])
+        rates = 100.0 * counts / np.array([[len(cleaned[k])] for k in own])
         best = rates.argmin(axis=1)
         weights = np.exp2(rates.min(axis=1, keepdims=True) - rates)
         scores = 1 / weights.sum(axis=1)
@@ -217,16 +277,14 @@ PREDICTED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("
 
 
 def predict_languages(docs: DataFrame, texts: dict[str, str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, lang_pred, score`` for each input row, over its whole text; null texts and those without a letter are UNKNOWN. Only the languages' training texts go to the executors."""
+    """``doc_id, lang_pred, score`` for each input row, over its whole text, null ids and repeated rows included; null texts and those without a letter are UNKNOWN with score 0, and so is all without a learned language. An empty table gives an empty one; other columns are not read. Only the languages' training texts go to the executors."""
     sent = docs.sparkSession.sparkContext.broadcast(tuple(sorted(texts.items())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(sent.value)
-        for whole in batches:
-            for at in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(at, ROWS)
-                found = model.predict(batch.column(1).to_pylist())
-                arrays = [batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
-                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "lang_pred", "score"])
+        for batch in batches:
+            found = [f for _, texts in groups(batch.column(1).to_pylist(), TOGETHER) for f in model.predict(texts)]
+            arrays = [batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "lang_pred", "score"])
 
     return small_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))).mapInArrow(run, PREDICTED)

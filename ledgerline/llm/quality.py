@@ -1,8 +1,8 @@
 """A quality classifier by naive Bayes support vectors.
 
-A text's features are indicators of hashed n-grams of its tokens (words, runs
-of marks and white space apart) and of its words' shapes. Each indicator is
-scaled by its class log-count ratio, and a linear model with squared hinge loss is
+A text's features are indicators of hashed n-grams: its tokens (words and runs
+of marks) and pairs of them, and pairs and triples of their shapes. They are made
+for many texts at once. Each indicator is scaled by its class log-count ratio, and a linear model with squared hinge loss is
 fitted to the scaled indicators by dual coordinate descent. Scores are the
 model's margins through a logistic curve that is fitted to held-back rows of
 the sample.
@@ -10,9 +10,7 @@ the sample.
 
 from __future__ import annotations
 
-import re
-import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,10 +20,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.llm.store import small_batches
+from ledgerline.llm.tokens import UPPER, Tokens, character_tables, groups, split_by_owner, tokens
 from ledgerline.llm.training import class_sample
 
-#: Hashed features; a power of two.
-FEATURES = 1 << 18
+#: Hashed features, a power of two.
+BITS = 18
+FEATURES = 1 << BITS
 #: Labelled rows of each class that a model is fitted on, about.
 PER_CLASS = 4000
 #: Added to both classes' document counts of a feature.
@@ -36,48 +36,53 @@ PASSES = 20
 #: One in so many rows of the sample is held back for the logistic curve.
 CURVE_FOLD = 5
 THRESHOLD = 0.7
-_TOKEN = re.compile(r"\w+|[^\w\s]+")
-_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+_PAIRS, _SHAPES, _TRIPLES = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
-def _shape(token: str) -> str:
-    """A word by its letter case and whether it has digits; marks as they are, long runs cut to four."""
-    if not (token[0].isalnum() or token[0] == "_"):
-        return token[:4]
-    case = "A" if token.isupper() and len(token) > 1 else "a" if token.islower() else "Aa" if token[0].isupper() else "x"
-    return case + "0" * any(map(str.isdigit, token))
+def _shapes(t: Tokens) -> np.ndarray:
+    """A number for a word's letter case and digits, and for a run of marks' ends and length by powers of two."""
+    first_upper = character_tables()[1][t.first] & UPPER
+    words = t.traits.astype(np.uint64) | first_upper.astype(np.uint64) << np.uint64(3) | (t.size > 1).astype(np.uint64) << np.uint64(4)
+    marks = (t.first.astype(np.uint64) << np.uint64(21) | t.last) << np.uint64(6) | np.floor(np.log2(np.maximum(t.size, 1))).astype(np.uint64) | np.uint64(1 << 62)
+    mixed = np.where(t.word, words, marks) * _SHAPES
+    return (mixed ^ mixed >> np.uint64(29)) * _PAIRS
+
+
+def indicators(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of texts, ascending, and their different hashed features, over whole texts: single tokens, pairs of neighbouring tokens, and pairs and triples of neighbouring tokens' shapes, with whether a token comes again at once or after one other. None for an empty text."""
+    t = tokens(texts)
+    h, s, owner = t.hashed, _shapes(t), t.owner.astype(np.uint64)
+    two, three = owner[:-1] == owner[1:], owner[:-2] == owner[2:]
+    again, later = (h[:-1] == h[1:]).astype(np.uint64), (h[:-2] == h[2:]).astype(np.uint64)
+    pairs = (s[:-1] * np.uint64(31) + s[1:] + np.uint64(7) + again) * _SHAPES
+    triples = (pairs[:-1] ^ (s[2:] + later) * _TRIPLES) * _PAIRS
+    bigrams = (h[:-1] * np.uint64(31) + h[1:]) * _TRIPLES
+    at = np.concatenate([owner, owner[:-1][two], owner[:-1][two], owner[:-2][three]])
+    found = np.concatenate([h * _PAIRS, bigrams[two], pairs[two], triples[three]]) >> np.uint64(64 - BITS)
+    codes = np.unique(at << np.uint64(BITS) | found)
+    return (codes >> np.uint64(BITS)).astype(np.int64), (codes & np.uint64(FEATURES - 1)).astype(np.int64)
 
 
 def features(text: str | None) -> np.ndarray:
-    """The different hashed features of a whole text, ascending: single tokens, and pairs and triples of neighbouring tokens' shapes, with whether a token comes again at once or after one other. None for an empty text."""
-    tokens = _TOKEN.findall(text or "")
-    if not tokens:
-        return np.zeros(0, np.int64)
-    crc = zlib.crc32
-    distinct = {t: crc(t.lower().encode()) for t in set(tokens)}
-    shapes = {t: crc(_shape(t).encode(), 1) for t in distinct}
-    s = np.fromiter(map(shapes.__getitem__, tokens), np.uint64, len(tokens))
-    out = [np.fromiter(distinct.values(), np.uint64, len(distinct)) * _MULTIPLIER]
-    t = np.fromiter(map(distinct.__getitem__, tokens), np.uint64, len(tokens))
-    pairs = (s[:-1] * np.uint64(31) + s[1:] + np.uint64(7) + (t[:-1] == t[1:])) * _MULTIPLIER
-    triples = pairs[:-1] ^ (s[2:] + (t[:-2] == t[2:])) * np.uint64(0xC2B2AE3D27D4EB4F)
-    out += [pairs, triples * _MULTIPLIER]
-    return np.unique((np.concatenate(out) >> np.uint64(40)).astype(np.int64) & (FEATURES - 1))
-
-
-def sampled_features(docs: DataFrame, sample: DataFrame, extract, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[int, int, np.ndarray]]:
-    """``doc_id, label, features`` of the sample's documents, by id. The sample is bounded by whoever drew it, and only hashes of whole texts come to the driver."""
+    """The features of one text, ascending."""
+    return indicators([text])[1]
+
+
+def sampled_features(docs: DataFrame, sample: DataFrame, extract: Callable, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[int, int, np.ndarray]]:
+    """``doc_id, label, features`` of the sample's documents, by id; ``extract`` gives the owners and features of a list of texts. An id with several texts counts by one of them, the least by its features' bytes. The sample is bounded by whoever drew it, and only hashes of whole texts come to the driver."""
     kind = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("label", T.IntegerType()), T.StructField("features", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [extract(t).astype(np.int32).tobytes() for t in batch.column(2).to_pylist()]
+            found: list[bytes] = []
+            for _, texts in groups(batch.column(2).to_pylist()):
+                found += [f.astype(np.int32).tobytes() for f in split_by_owner(*extract(texts), len(texts))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["doc_id", "label", "features"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     joined = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text")
-    rows = [(r[0], r[1], np.frombuffer(bytes(r[2]), np.int32).astype(np.int64)) for r in small_batches(joined).mapInArrow(run, kind).collect()]
-    return sorted(rows, key=lambda r: (r[0], r[1], r[2].tobytes()))
+    each = small_batches(joined).mapInArrow(run, kind).groupBy("doc_id", "label").agg(F.min("features").alias("features"))
+    return sorted(((r[0], r[1], np.frombuffer(bytes(r[2]), np.int32).astype(np.int64)) for r in each.collect()), key=lambda r: r[:2])
 
 
 @dataclass
@@ -89,12 +94,15 @@ class LinearModel:
     slope: float = 1.0
     offset: float = 0.0
 
-    def margin(self, found: np.ndarray) -> float:
-        return float(self.weights[found].sum()) / max(1.0, np.sqrt(len(found))) + self.bias
+    def margins(self, owner: np.ndarray, found: np.ndarray, n: int) -> np.ndarray:
+        """Margins of ``n`` texts from the features of each."""
+        counts = np.bincount(owner, minlength=n)
+        return np.bincount(owner, self.weights[found], n) / np.sqrt(np.maximum(1, counts)) + self.bias
 
-    def score(self, found: np.ndarray) -> float:
-        z = self.slope * self.margin(found) + self.offset
-        return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
+    def scores(self, texts: list[str | None]) -> np.ndarray:
+        owner, found = indicators(texts)
+        z = self.slope * self.margins(owner, found, len(texts)) + self.offset
+        return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
 def log_count_ratios(rows: list[np.ndarray], labels: np.ndarray, smoothing: float = SMOOTHING) -> np.ndarray:
@@ -160,38 +168,44 @@ def fit(sample: list[tuple[int, int, np.ndarray]], seed: int = 0) -> LinearModel
 
     back = np.arange(len(rows)) % CURVE_FOLD == 0
     first = model(np.flatnonzero(~back))
-    slope, offset = logistic_curve(np.array([first.margin(rows[k]) for k in np.flatnonzero(back)]), labels[back])
+    held = [rows[k] for k in np.flatnonzero(back)]
+    owner = np.repeat(np.arange(len(held)), [len(r) for r in held])
+    slope, offset = logistic_curve(first.margins(owner, np.concatenate(held), len(held)), labels[back])
     out = model(np.arange(len(rows)))
     out.slope, out.offset = slope, offset
     return out
 
 
-def score_texts(docs: DataFrame, model, extract, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """The columns of ``keep`` as they are, then ``doc_id, score``: a row for each input row. The model goes to every executor once; its size is fixed by FEATURES."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(model)
-    kind = T.StructType([*[docs.schema[c] for c in keep], T.StructField("__id", T.LongType()), T.StructField("__score", T.DoubleType())])
+def score_texts(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, score``, and ``kept_`` before the name of each column of ``keep``: a row for each input row. The model goes to every executor once; FEATURES, or its words, fix its size."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    kind = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("score", T.DoubleType()), *[T.StructField(f"kept_{c}", docs.schema[c].dataType) for c in keep]])
     names = [f.name for f in kind]
-
     # A text that is kept anyway travels once.
-    at = keep.index(text_col) if text_col in keep and isinstance(docs.schema[text_col].dataType, T.StringType) else len(keep) + 1
+    at = 1 + keep.index(text_col) if text_col in keep and isinstance(docs.schema[text_col].dataType, T.StringType) else len(keep) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         for batch in batches:
-            scores = pa.array([m.score(extract(t.as_py())) for t in batch.column(at)], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep) + 1], scores], names=names)
+            parts = [m.scores(texts) for _, texts in groups(batch.column(at).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate([*parts, np.zeros(0)])), *batch.columns[1 : len(keep) + 1]], names=names)
 
-    own = [F.col(c) for c in keep] + [F.col(id_col).cast("long").alias("__id")]
-    own += [F.col(text_col).cast("string").alias("__text")] if at > len(keep) else []
+    own = [F.col(id_col).cast("long").alias("doc_id")] + [F.col(c).alias(f"kept_{c}") for c in keep]
+    own += [F.col(text_col).cast("string").alias("text")] if at > len(keep) else []
     return small_batches(docs.select(*own)).mapInArrow(run, kind)
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed: int = 0, label_col: str = "quality") -> LinearModel:
-    """A model from the labelled rows given, about ``per_class`` of each class; ids without a document, and null labels, are left out."""
-    return fit(sampled_features(docs, class_sample(labels, label_col, per_class, seed), features), seed)
+    """A model from the labelled rows given, about ``per_class`` of each class.
+
+    Ids without a document, and null labels, are left out; an id with several
+    labels has the largest, one with several texts counts by one of them. Null
+    and empty texts have no features; long texts count whole. Without labelled
+    rows every score is 0.5, with one class alone the model answers it.
+    """
+    return fit(sampled_features(docs, class_sample(labels, label_col, per_class, seed), indicators), seed)
 
 
 def quality_scores(docs: DataFrame, model: LinearModel, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``__id, __score`` after the columns of ``keep``: each whole text's score from 0 to 1; null and empty texts have the score of no features."""
-    return score_texts(docs, model, features, id_col, text_col, keep)
+    """``doc_id, score``, and ``kept_`` before each column of ``keep``: each whole text's score from 0 to 1, a row for each input row, null ids and repeated rows included. Null and empty texts have the score of no features; an empty table gives an empty one; other columns are not read."""
+    return score_texts(docs, model, id_col, text_col, keep)

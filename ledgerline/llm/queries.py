@@ -68,7 +68,7 @@ def op5_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     learnt = id_fold("doc_id", 5) != 0
     model = toxicity.fit_toxicity(docs.filter(learnt), spark.read.parquet(f"{sf_dir}/labels.parquet").filter(learnt))
-    scored = toxicity.toxicity_scores(docs, model).select(F.col("__id").alias("doc_id"), F.col("__score").alias("score"))
+    scored = toxicity.toxicity_scores(docs, model)
     return scored.select("doc_id", (id_fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
@@ -95,7 +95,6 @@ def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.
 def op8_nb_svm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     scored = quality.quality_scores(docs, quality_model(spark, docs, sf_dir))
-    scored = scored.select(F.col("__id").alias("doc_id"), F.col("__score").alias("score"))
     return scored.select("doc_id", (id_fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 

@@ -14,9 +14,12 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where it is unset (tests), a temporary one is set for the session."""
+    """The folder of ``spark.checkpoint.dir``; where it is unset and driver and executors are one process, a temporary one is set for the session. Raises RuntimeError on a cluster without it."""
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"{CHECKPOINT_DIR} must name a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="ledgerline-")
         spark.conf.set(CHECKPOINT_DIR, folder)
     return folder.rstrip("/")
@@ -28,11 +31,18 @@ SPARKS_OWN, TEXTS_AT_ONCE = 10_000, 1000
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """Has texts go to Python workers in small batches, which bounds the workers' memory. A session that has set its own size keeps it."""
-    conf = df.sparkSession.conf
-    if int(conf.get(BATCH_SETTING)) == SPARKS_OWN:
-        conf.set(BATCH_SETTING, TEXTS_AT_ONCE)
-    return df
+    """The same table in a copy of its session that sends texts to Python workers in small batches, which bounds the workers' memory.
+
+    The caller's session keeps its settings. Where it has another batch size
+    than Spark's own, that holds and the table stays as it is.
+    """
+    spark = df.sparkSession
+    if int(spark.conf.get(BATCH_SETTING)) != SPARKS_OWN:
+        return df
+    copy = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+    copy._jsparkSession.conf().set(BATCH_SETTING, str(TEXTS_AT_ONCE))
+    plan = df._jdf.queryExecution().analyzed()
+    return DataFrame(spark.sparkContext._jvm.org.apache.spark.sql.classic.Dataset.ofRows(copy._jsparkSession, plan), copy)
 
 
 class Shared:
