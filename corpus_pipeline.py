@@ -17,7 +17,7 @@ from ledgerline.llm.store import Shared
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier scores THRESHOLD or more; null and empty texts are scored like others, and repeated rows alike."""
     scored = quality.quality_scores(docs, quality_model(spark, docs, sf_dir), keep=tuple(docs.columns))
-    return scored.filter(F.col("__score") >= quality.THRESHOLD).select(*docs.columns)
+    return scored.filter(F.col("score") >= quality.THRESHOLD).select(*[F.col(f"kept_{c}").alias(c) for c in docs.columns])
 
 
 def _own(docs: DataFrame) -> DataFrame:
