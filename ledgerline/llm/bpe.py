@@ -89,12 +89,22 @@ def _utf8_ends() -> tuple[np.ndarray, np.ndarray]:
     return first.astype(np.uint8), np.where(cp < 0x80, cp, 0x80 | cp & 0x3F).astype(np.uint8)
 
 
+def _reject_others(path: str, spec: dict) -> None:
+    """Raises ValueError for a file that asks for more than byte-level pre-tokens and merges."""
+    model, before = spec["model"], spec.get("pre_tokenizer") or {}
+    sound = spec.get("normalizer") is None and before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True)
+    plain = not any(model.get(k) for k in ("ignore_merges", "dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback"))
+    if not sound or not plain or model.get("type", "BPE") != "BPE" or any(x.get(k) for x in spec["added_tokens"] for k in ("lstrip", "rstrip", "single_word", "normalized")):
+        raise ValueError(f"{path} asks for what this encoder doesn't do")
+
+
 class ForcedBoundaryBpe:
     """Encodes and decodes as ``tokenizers`` does with the same file and no added special tokens; special tokens' strings within a text are recognised."""
 
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        _reject_others(path, spec)
         bytes_of = byte_characters()
         as_bytes = lambda token: bytes(bytes_of[c] for c in token)
         self.ids = {as_bytes(token): i for token, i in spec["model"]["vocab"].items()}
@@ -213,9 +223,6 @@ def tokenizer(path: str) -> ForcedBoundaryBpe:
     return ForcedBoundaryBpe(path)
 
 
-ENCODED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.ArrayType(T.IntegerType(), False))])
-
-
 #: Texts that are worked on at a time.
 ROWS = 128
 
@@ -240,8 +247,8 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     """``doc_id, n_tokens, token_ids``: each whole text's ids (null: those of an empty text, none).
 
     ``path`` is the vocabulary file, present on every executor. One output row
-    for each input row, repeated rows and null ids included; other columns are
-    not read.
+    for each input row, repeated rows and null ids included; long texts are
+    encoded whole; an empty table gives an empty one; other columns are not read.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 

@@ -82,10 +82,34 @@ class CuckooFilter:
 
     def contains(self, hashes: np.ndarray) -> np.ndarray:
         """Whether each hash may be in the set; never False for one that is."""
-        h = hashes.astype(np.int64).view(np.uint64)
-        mark = np.maximum(h >> np.uint64(48), np.uint64(1))
-        mask = np.uint64(len(self.marks) - 1)
-        first = h & mask
-        other = (first ^ mark * np.uint64(0x5BD1E995)) & mask
+        mark, first, other = _both_buckets(hashes, np.uint64(len(self.marks) - 1))
         m = mark.astype(np.uint16)[:, None]
-        return (self.marks[first.astype(np.int64)] == m).any(axis=1) | (self.marks[other.astype(np.int64)] == m).any(axis=1)
+        return (self.marks[first] == m).any(axis=1) | (self.marks[other] == m).any(axis=1)
+
+
+class CuckooShards:
+    """The filters of all shards side by side, asked for many hashes at once. A shard without a filter knows nothing."""
+
+    def __init__(self, n_shards: int, marks: dict[int, bytes]) -> None:
+        self.n_shards = n_shards
+        own = [np.frombuffer(marks[k], np.uint16).reshape(-1, SLOTS) if k in marks else np.zeros((1, SLOTS), np.uint16) for k in range(n_shards)]
+        buckets = np.array([len(m) for m in own])
+        self.masks = (buckets - 1).astype(np.uint64)
+        self.begin = np.cumsum(buckets) - buckets
+        self.marks = np.concatenate(own)
+
+    def contains(self, shard_by: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Whether each hash may be in the filter of its shard, which is ``shard_by`` modulo the shards."""
+        shard = shard_by % self.n_shards
+        mark, first, other = _both_buckets(hashes, self.masks[shard])
+        at = self.begin[shard]
+        m = mark.astype(np.uint16)[:, None]
+        return (self.marks[at + first] == m).any(axis=1) | (self.marks[at + other] == m).any(axis=1)
+
+
+def _both_buckets(hashes: np.ndarray, mask: np.ndarray | np.uint64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    h = hashes.astype(np.int64).view(np.uint64)
+    mark = np.maximum(h >> np.uint64(48), np.uint64(1))
+    first = h & mask
+    other = (first ^ mark * np.uint64(0x5BD1E995)) & mask
+    return mark, first.astype(np.int64), other.astype(np.int64)

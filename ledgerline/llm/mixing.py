@@ -1,13 +1,15 @@
 """Mixing sources to target weights by Pareto order sampling.
 
-Each source's target is its share of all words. A document is due ``r`` copies
-(its source's target over its source's words, times its weight where weights
-are given): the whole copies are certain, and the rest is a chance ``p`` of one
-more. Documents are ranked by the odds of a random number over the odds of
-``p``, and the sample is the front of that order whose words come nearest to
-what the whole copies leave of the target: a sample of fixed size, in words,
-with unequal chances. The order is cut by slices of the ranking value, so no
-source is ordered in one task; all is DataFrame functions.
+Each source's target is its share of all words. Within a source a document is due
+copies in proportion to its weight, the binary digits of its number of words or a
+column's value, so that the words of all add up to the target and none is due
+more than ``MOST``: weights are few, and their sums say where the most is
+reached. The whole copies are certain, and the rest is a chance ``p`` of one more.
+Documents are ranked by the odds of a random number over the odds of ``p``, and
+the sample is the front of that order whose words come nearest to what the whole
+copies leave of the target: a sample of fixed size, in words, with unequal
+chances. The order is cut by slices of the ranking value, so no source is ordered
+in one task; all is DataFrame functions.
 """
 
 from __future__ import annotations
@@ -60,6 +62,33 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     return rows.select(*sizes.columns, target.alias("target"))
 
 
+def length_weight(size: Column) -> Column:
+    """The binary digits of a number of words, 1 for none: longer documents are likelier, those of twice the words a little."""
+    return F.length(F.bin(size)).cast("long")
+
+
+def due_copies(cells: DataFrame, most: int = MOST) -> DataFrame:
+    """``source, weight, due`` of ``cells``: ``source, target, weight, words``, a row for each weight of a source.
+
+    Copies are due by weight, ``most`` at most: from the greatest weight down,
+    weights are at the most as long as the rate that would serve the others
+    brings theirs there too; the first that stays below fixes the rate.
+    """
+    own = Window.partitionBy("source")
+    down = own.orderBy(F.desc("weight"))
+    before = down.rowsBetween(Window.unboundedPreceding, -1)
+    weighed = F.col("words") * F.col("weight")
+    rows = cells.withColumn("above", F.coalesce(F.sum("words").over(before), F.lit(0)))
+    rows = rows.withColumn("below", F.sum(weighed).over(own) - F.coalesce(F.sum(weighed).over(before), F.lit(0)))
+    left = F.col("target") - F.lit(float(most)) * F.col("above").cast("double")
+    rows = rows.withColumn("rate", F.when(F.col("below") > 0, left / F.col("below").cast("double")).otherwise(F.lit(0.0)))
+    rows = rows.withColumn("full", F.col("rate") * F.col("weight") >= F.lit(float(most)))
+    # The greatest weight that isn't at the most.
+    rows = rows.withColumn("level", F.max(F.when(~F.col("full"), F.struct("weight", "rate"))).over(own))
+    due = F.when(F.col("level").isNull() | (F.col("weight") > F.col("level.weight")), F.lit(float(most))).otherwise(F.greatest(F.col("level.rate") * F.col("weight"), F.lit(0.0)))
+    return rows.select("source", "weight", due.alias("due"))
+
+
 def pareto_mix(
     docs: DataFrame,
     weights: tuple[int, ...] = WEIGHTS,
@@ -73,23 +102,30 @@ def pareto_mix(
 ) -> DataFrame:
     """``doc_id, source, size, source_size, target, copies``, and the columns of ``keep``: a row for each input row.
 
-    With ``weight_col``, a document is due its source's rate times its weight
-    (positive; null counts as 1) over its source's mean by words, ``most`` at
-    most. Documents without words rank like others and change no sum; a source
+    A document's weight is the binary digits of its words, or ``weight_col``, a
+    whole number of few different values; null, and what is below 1, counts as 1.
+    Documents without words rank like others and change no sum; a source
     without words is due no copies. Ties of the ranking go by id, then size. A source is
     one row of a table that is ordered in one task: sources are few beside
     documents. Repeated rows are taken apart from each other, but rank together.
+    Null texts have no words; an empty table gives an empty one.
     """
     shared = Shared(docs.sparkSession)
     base = [F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), words(F.col(text_col)).alias("size")]
-    weight = F.lit(1.0) if weight_col is None else F.coalesce(F.col(weight_col).cast("double"), F.lit(1.0))
+    weight = length_weight(F.col("size")) if weight_col is None else F.greatest(F.coalesce(F.col("given"), F.lit(1)), F.lit(1))
     digest = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary"))
     number = (F.conv(F.substring(digest, 1, DIGITS), 16, 10).cast("double") + 0.5) / float(16**DIGITS)
-    rows = shared.keep(docs.select(*base, weight.alias("weight"), number.alias("u"), *[F.col(c).alias(f"kept_{c}") for c in keep]), "sizes")
-    per_source = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum(F.col("size") * F.col("weight")).alias("weighed"))
-    rates = shared.keep(source_targets(per_source, weights, most), "rates")
-    due = F.least(F.when(F.col("weighed") > 0, F.col("target") * F.col("weight") / F.col("weighed")).otherwise(F.lit(0.0)), F.lit(float(most)))
-    mixed = rows.join(rates.withColumnRenamed("source", "s"), rows["source"].eqNullSafe(F.col("s"))).drop("s").withColumn("due", due)
+    given = (F.lit(None) if weight_col is None else F.col(weight_col)).cast("long").alias("given")
+    rows = docs.select(*base, given, number.alias("u"), *[F.col(c).alias(f"kept_{c}") for c in keep]).withColumn("weight", weight).drop("given")
+    rows = shared.keep(rows, "sizes")
+    cells = shared.keep(rows.groupBy("source", "weight").agg(F.sum("size").alias("words")), "cells")
+    rates = source_targets(cells.groupBy("source").agg(F.sum("words").alias("source_size")), weights, most).withColumnRenamed("source", "s")
+    cells = cells.join(rates, cells["source"].eqNullSafe(F.col("s"))).drop("s")
+    due = due_copies(cells, most).withColumnsRenamed({"source": "s", "weight": "w"})
+    cells = cells.join(due, cells["source"].eqNullSafe(F.col("s")) & (F.col("weight") == F.col("w"))).drop("s", "w", "words")
+    # A row for each weight of each source.
+    cells = shared.keep(cells.withColumn("due", F.when(F.col("source_size") > 0, F.col("due")).otherwise(F.lit(0.0))).withColumnsRenamed({"source": "s", "weight": "w"}), "rates")
+    mixed = rows.join(cells, rows["source"].eqNullSafe(F.col("s")) & (F.col("weight") == F.col("w"))).drop("s", "w")
     mixed = mixed.withColumn("whole", F.floor("due")).withColumn("p", F.col("due") - F.col("whole"))
     # Odds over odds, as a number from 0 to 1 that orders alike.
     odds = F.col("u") / (1 - F.col("u")) * (1 - F.col("p")) / F.col("p")

@@ -148,9 +148,9 @@ def _tables(packets: np.ndarray, rows: np.ndarray, table_id: int) -> set[bytes]:
     bodies = set()
     for raw in {x.tobytes() for x in packets[rows, 4:]}:
         section = raw[1 + raw[0] :]
-        length = (section[1] & 15) << 8 | section[2]
+        length = (section[1] & 15) << 8 | section[2] if len(section) > 2 else 0
         section = section[: 3 + length]
-        if section[0] != table_id or crc32_mpeg(section):
+        if length < 9 or len(section) < 3 + length or section[0] != table_id or crc32_mpeg(section):
             raise ValueError("damaged table section")
         bodies.add(section[8:-4])
     return bodies
@@ -169,14 +169,20 @@ def read_transport_stream(media: bytes) -> Stream:
         raise ValueError("lost sync")
     pids = (packets[:, 1] & 31).astype(np.int64) << 8 | packets[:, 2]
     for body in _tables(packets, pids == PAT_PID, 0):
+        if len(body) % 4:
+            raise ValueError("damaged program table")
         for at in range(0, len(body), 4):
-            out.programs[body[at] << 8 | body[at + 1]] = (body[at + 2] & 31) << 8 | body[at + 3]
+            # Program 0 is the network's table, not a program.
+            if number := body[at] << 8 | body[at + 1]:
+                out.programs[number] = (body[at + 2] & 31) << 8 | body[at + 3]
     for pmt in out.programs.values():
         for body in _tables(packets, pids == pmt, 2):
-            at = 4 + ((body[2] & 15) << 8 | body[3])
-            while at < len(body):
+            at = 4 + ((body[2] & 15) << 8 | body[3]) if len(body) >= 4 else len(body) + 1
+            while at + 5 <= len(body):
                 out.streams[(body[at + 1] & 31) << 8 | body[at + 2]] = body[at]
                 at += 5 + ((body[at + 3] & 15) << 8 | body[at + 4])
+            if at != len(body):
+                raise ValueError("damaged stream table")
     payloads = []
     filled = (packets[:, 3] & 0x10) != 0
     for pid in [PAT_PID, *out.programs.values(), *out.streams]:
@@ -196,6 +202,8 @@ def _elementary(packets: np.ndarray, rows: np.ndarray, out: Stream) -> bytes:
     """Reassembles one stream's elementary packets and notes its units."""
     own = packets[rows]
     skip = np.where(own[:, 3] & 0x20, own[:, 4].astype(np.int64) + 1, 0) + 4
+    if (skip > PACKET).any():
+        raise ValueError("damaged adaptation field")
     data = own[np.arange(PACKET) >= skip[:, None]].tobytes()
     ends = np.cumsum(PACKET - skip)
     starts = np.flatnonzero(own[:, 1] & 0x40)
@@ -203,15 +211,14 @@ def _elementary(packets: np.ndarray, rows: np.ndarray, out: Stream) -> bytes:
     parts, offset = [], 0
     for k, (row, begin, end) in enumerate(zip(starts.tolist(), at, [*at[1:], len(data)], strict=True)):
         unit = data[begin:end]
-        size = unit[4] << 8 | unit[5]
-        if unit[:3] != b"\0\0\1" or size != len(unit) - 6:
+        if len(unit) < 9 or unit[:3] != b"\0\0\1" or unit[4] << 8 | unit[5] != len(unit) - 6 or len(unit) < 9 + unit[8] or (unit[7] & 0x80 and unit[8] < 5):
             raise ValueError(f"damaged elementary packet {k}")
         pts = pcr = None
         if unit[7] & 0x80:
             b = unit[9:14]
             pts = (b[0] >> 1 & 7) << 30 | b[1] << 22 | b[2] >> 1 << 15 | b[3] << 7 | b[4] >> 1
         flags = int(own[row, 5]) if own[row, 3] & 0x20 and own[row, 4] else 0
-        if flags & 0x10:
+        if flags & 0x10 and own[row, 4] >= 7:
             pcr = int.from_bytes(own[row, 6:12].tobytes(), "big") >> 15
         samples = unit[9 + unit[8] :]
         out.units.append((int(rows[row]), offset, len(samples), pts, pcr, bool(flags & 0x40)))
@@ -246,7 +253,9 @@ def encode_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``doc_id, n_bytes, media``: each whole text as UTF-8 (null: no bytes), padded with 0 to a positive multiple of 64, in a transport stream.
 
     One output row for each input row, repeated rows and null ids included;
-    an empty text is one unit of 64 zero samples; other columns are not read.
+    an empty text is one unit of 64 zero samples; long texts are stored whole, in
+    as many units as it takes. An empty table gives an empty one; other columns
+    are not read.
     """
     schema = _schema(MEDIA)
 
@@ -278,14 +287,38 @@ READ = T.StructType(
         T.StructField("units", UNITS),
         T.StructField("sample_sum", T.LongType()),
         T.StructField("level_crossings", T.LongType()),
+        T.StructField("error", T.StringType()),
     ]
 )
 
 
+def _read(stored: bytes) -> dict:
+    out = {"media_bytes": len(stored), "media_sha256": hashlib.sha256(stored).hexdigest()}
+    try:
+        s = read_transport_stream(stored)
+    except ValueError as damage:
+        return out | {"error": str(damage)}
+    samples = np.frombuffer(s.payload, np.uint8)
+    return out | {
+        "payload_bytes": len(s.payload),
+        "payload_sha256": hashlib.sha256(s.payload).hexdigest(),
+        "tail_crc32": zlib.crc32(s.payload[-64:]),
+        "n_packets": s.packets,
+        "continuity_errors": s.continuity_errors,
+        "streams": ",".join(f"{pid}:{kind}" for pid, kind in sorted(s.streams.items())),
+        "units": [dict(zip(("packet", "offset", "n_samples", "pts", "pcr", "random_access"), u, strict=True)) for u in s.units],
+        "sample_sum": int(samples.sum(dtype=np.int64)),
+        "level_crossings": int(np.count_nonzero(np.diff(samples >= 64))),
+    }
+
+
 def decode_media(media: DataFrame) -> DataFrame:
     """Reads every stored stream back: digests of its payload, packet and continuity counts, its streams, and ``units``, the timestamp and random-access index.
 
-    Takes the columns of ``encode_media``; a null stream is read as one of no packets.
+    Takes the columns of ``encode_media``; other columns are not read, repeated
+    rows and null ids are rows like others, and an empty table gives an empty
+    one. A null stream is read as one of no packets. A damaged stream has
+    ``error``, its own size and digest, and null for all that is read from it.
     """
     schema = _schema(READ)
 
@@ -293,26 +326,7 @@ def decode_media(media: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for doc_id, n_bytes, stored in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                stored = stored or b""
-                s = read_transport_stream(stored)
-                samples = np.frombuffer(s.payload, np.uint8)
-                rows.append(
-                    {
-                        "doc_id": doc_id,
-                        "n_bytes": n_bytes,
-                        "payload_bytes": len(s.payload),
-                        "payload_sha256": hashlib.sha256(s.payload).hexdigest(),
-                        "tail_crc32": zlib.crc32(s.payload[-64:]),
-                        "media_bytes": len(stored),
-                        "media_sha256": hashlib.sha256(stored).hexdigest(),
-                        "n_packets": s.packets,
-                        "continuity_errors": s.continuity_errors,
-                        "streams": ",".join(f"{pid}:{kind}" for pid, kind in sorted(s.streams.items())),
-                        "units": [dict(zip(("packet", "offset", "n_samples", "pts", "pcr", "random_access"), u, strict=True)) for u in s.units],
-                        "sample_sum": int(samples.sum(dtype=np.int64)),
-                        "level_crossings": int(np.count_nonzero(np.diff(samples >= 64))),
-                    }
-                )
+                rows.append({"doc_id": doc_id, "n_bytes": n_bytes} | _read(stored or b""))
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     return media.select("doc_id", "n_bytes", "media").mapInArrow(unpack, READ)

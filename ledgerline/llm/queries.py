@@ -17,15 +17,18 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest of every row of ``embeddings`` whose id is divisible by 50; see ``nearest_neighbours`` for vectors that take no part."""
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return ann.nearest_neighbours(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
 
 
 def op2_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document; see ``near_duplicates`` for nulls and repeats."""
     return simhash.near_duplicates(_documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
 
 
 def op3_media_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text stored as a transport stream and read back; the feature sums up what the stream says of itself and its samples."""
     read = mpegts.decode_media(mpegts.encode_media(_documents(spark, sf_dir)))
     units = F.col("units")
     feature = F.format_string(
@@ -43,6 +46,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 def op4_cuckoo_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many lines each document has and loses, and the digest of what stays; a document that loses all lines keeps an empty text."""
     kept = line_dedup.dedup_lines(_documents(spark, sf_dir))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
@@ -65,6 +69,7 @@ FROM judged GROUP BY doc_id
 
 
 def op5_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from the rows outside the held-out fold."""
     docs = _documents(spark, sf_dir)
     learnt = id_fold("doc_id", 5) != 0
     model = toxicity.fit_toxicity(docs.filter(learnt), spark.read.parquet(f"{sf_dir}/labels.parquet").filter(learnt))
@@ -73,6 +78,7 @@ def op5_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded and decoded again, as digests; a null text is as an empty one."""
     path = tokenizer_path()
     decoded = bpe.decode_texts(bpe.encode_texts(_documents(spark, sf_dir), path), path)
     ids = F.array_join(F.col("token_ids").cast("array<string>"), ",")
@@ -80,6 +86,7 @@ def op6_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_cross_parsing_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from the rows outside the held-out fold."""
     docs = _documents(spark, sf_dir)
     held_out = id_fold("doc_id", 4) == 2
     predicted = langid.predict_languages(docs, langid.training_texts(docs.filter(~held_out)))
@@ -93,17 +100,20 @@ def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.
 
 
 def op8_nb_svm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learnt from the labels outside the held-out fold."""
     docs = _documents(spark, sf_dir)
     scored = quality.quality_scores(docs, quality_model(spark, docs, sf_dir))
     return scored.select("doc_id", (id_fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
 def op9_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards, their row counts at most one apart."""
     dealt = sharding.shuffle_into_shards(_documents(spark, sf_dir), 24)
     return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op10_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents and the words that the mix takes of each."""
     mixed = mixing.pareto_mix(_documents(spark, sf_dir))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
@@ -130,10 +140,19 @@ targets AS (
   SELECT source, source_size, CASE WHEN capped THEN CAST(cap AS DOUBLE)
     ELSE (SELECT CAST(arg_min(rest, place) AS DOUBLE) FROM judged WHERE NOT capped) * weight / (SELECT CAST(arg_min(open, place) AS DOUBLE) FROM judged WHERE NOT capped) END AS target
   FROM judged),
+weights AS (SELECT *, length(bin(size)) AS weight FROM docs),
+cells AS (
+  SELECT c.source, target, source_size, weight, words,
+    coalesce(sum(words) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above,
+    sum(words * weight) OVER (PARTITION BY c.source) - coalesce(sum(words * weight) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+  FROM (SELECT source, weight, sum(size) AS words FROM weights GROUP BY source, weight) c JOIN targets t ON c.source IS NOT DISTINCT FROM t.source
+  WINDOW w AS (PARTITION BY c.source ORDER BY weight DESC)),
+rates AS (SELECT *, CASE WHEN below > 0 THEN (target - 3e0 * CAST(above AS DOUBLE)) / CAST(below AS DOUBLE) ELSE 0e0 END AS rate FROM cells),
+levels AS (SELECT source, max(weight) AS level, arg_max(rate, weight) AS rate FROM rates WHERE NOT rate * weight >= 3e0 GROUP BY source),
 due AS (
-  SELECT doc_id, d.source, size, source_size, target, u,
-    least(CASE WHEN source_size > 0 THEN target * 1e0 / CAST(source_size AS DOUBLE) ELSE 0e0 END, 3e0) AS due
-  FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
+  SELECT doc_id, d.source, size, r.source_size, r.target, u,
+    CASE WHEN r.source_size <= 0 THEN 0e0 WHEN l.level IS NULL OR d.weight > l.level THEN 3e0 ELSE greatest(l.rate * d.weight, 0e0) END AS due
+  FROM weights d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source AND d.weight = r.weight LEFT JOIN levels l ON d.source IS NOT DISTINCT FROM l.source),
 ranked AS (SELECT *, floor(due) AS whole, due - floor(due) AS p FROM due),
 ordered AS (
   SELECT *, CASE WHEN p > 0 THEN (u / (1 - u) * (1 - p) / p) / (1 + u / (1 - u) * (1 - p) / p) END AS rank,

@@ -1,16 +1,18 @@
 """Uniform shuffles into shards of exact sizes, by a hypergeometric communication matrix.
 
-Rows lie in ``P`` source parts (by a hash). Where a uniformly random
-permutation is cut into shards, the number of rows that part ``p`` sends to
-shard ``s`` is multivariate hypergeometric: the matrix is drawn first, part by
-part and shard by shard. Then each part is permuted by itself and dealt out by
-its row of the matrix, and each shard is permuted by itself. Only DataFrame
-functions touch rows; the driver draws ``P`` times ``n_shards`` numbers.
+Rows lie in partitions, which stretches of neighbouring rows cut into source
+parts. Where a uniformly random permutation is cut into shards, the number of rows
+that part ``p`` sends to shard ``s`` is multivariate hypergeometric: the matrix is
+drawn first, part by part and shard by shard, and written as a table. Then each
+part is permuted by itself and dealt out by its row of the matrix, and each shard
+is permuted by itself. Only DataFrame functions touch rows; the driver draws the
+matrix, whose numbers MATRIX bounds.
 """
 
 from __future__ import annotations
 
 import math
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -19,12 +21,13 @@ from pyspark.sql.window import Window
 
 from ledgerline.llm.store import Shared
 
-#: Rows that a source part holds about, and the most parts: what bounds the matrix.
+#: Rows of a source part, and numbers of the matrix: beyond those, parts have more rows.
 PART_ROWS = 20_000
-MAX_PARTS = 4096
-#: Parts of a shard that are ordered by themselves: rows for each, and the most.
+MATRIX = 1 << 20
+#: Rows, about, of the parts of a shard that are ordered by themselves.
 SLICE_ROWS = 20_000
-MAX_SLICES = 4096
+#: Bits of a row's number below those of its partition's.
+ROW_BITS = 33
 
 
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, drawn: int) -> int:
@@ -94,24 +97,23 @@ def shuffle_into_shards(docs: DataFrame, n_shards: int, seed: int = 0, id_col: s
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(text).cast("long") + 8).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.monotonically_increasing_id().alias("row"))
     rows = shared.keep(rows, "rows")
-    n = rows.count()
-    parts = max(1, min(MAX_PARTS, math.ceil(n / PART_ROWS)))
-    slices = max(1, min(MAX_SLICES, math.ceil(n / n_shards / SLICE_ROWS)))
-    rows = rows.withColumn("key", _random_key(seed, "doc_id", "row"))
-    rows = rows.withColumn("part", F.pmod(_random_key(seed + 1, "key"), F.lit(parts)).cast("int"))
-    sizes = {r["part"]: r["n"] for r in rows.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
-    matrix = communication_matrix([sizes.get(p, 0) for p in range(parts)], even_sizes(n, n_shards), seed)
-    # The matrix as running sums, in one string: at most MAX_PARTS rows of n_shards numbers.
-    bounds = []
-    for row in matrix:
-        total, ends = 0, []
-        for count in row:
-            total += count
-            ends.append(str(total))
-        bounds.append(",".join(ends))
-    deal = docs.sparkSession.range(1).select(F.posexplode(F.split(F.lit(";".join(bounds)), ";")).alias("part", "ends"))
-    deal = deal.select("part", F.split("ends", ",").cast("array<long>").alias("ends"))
-    local = _ranked(rows, "part", "key", 1, "rank")
-    dealt = local.join(F.broadcast(deal), "part").withColumn("shard", F.size(F.filter("ends", lambda e: e <= F.col("rank"))).cast("int"))
+    lie = F.shiftright("row", ROW_BITS)
+    partitions = sorted((r["p"], r["n"]) for r in rows.groupBy(lie.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+    n = sum(k for _, k in partitions)
+    part_rows = max(PART_ROWS, math.ceil(n * n_shards / MATRIX))
+    slices = max(1, math.ceil(n / n_shards / SLICE_ROWS))
+    stretch = F.floor(F.col("row").bitwiseAND(F.lit((1 << ROW_BITS) - 1)) / part_rows)
+    parts = [(p << ROW_BITS | k, min(part_rows, size - k * part_rows)) for p, size in partitions for k in range(math.ceil(size / part_rows))]
+    matrix = communication_matrix([size for _, size in parts], even_sizes(n, n_shards), seed)
+    # Where each shard's rows end in a part's order.
+    deal = docs.sparkSession.createDataFrame([(part, list(accumulate(row))) for (part, _), row in zip(parts, matrix, strict=True)], "part long, ends array<long>")
+    deal = shared.keep(deal, "matrix")
+    rows = rows.select("*", (F.shiftleft(lie, ROW_BITS) + stretch).cast("long").alias("part"), _random_key(seed, "doc_id", "row").alias("key"))
+    local = rows.withColumn("rank", F.row_number().over(Window.partitionBy("part").orderBy("key", "row")) - 1)
+    # How many ends lie at or below the rank, by halves.
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(n_shards.bit_length()))])
+    passed = lambda at, step: (at + step <= n_shards) & (F.get("ends", at + step - 1) <= F.col("rank"))
+    shard = F.aggregate(steps, F.lit(0), lambda at, step: F.when(passed(at, step), at + step).otherwise(at))
+    dealt = local.join(deal, "part").withColumn("shard", shard)
     dealt = dealt.select("doc_id", "size", "text_crc32", "shard", "row", _random_key(seed + 2, "key").alias("key"))
     return _ranked(dealt, "shard", "key", slices, "slot").select("doc_id", "size", "text_crc32", "shard", F.col("slot").cast("long").alias("slot"))

@@ -62,7 +62,7 @@ FINGERPRINTS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructFiel
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp``: each whole text's fingerprint as a signed long; one row for each input row; null and wordless texts have 0."""
+    """``doc_id, fp``: each whole text's fingerprint as a signed long; one row for each input row, null ids and repeated rows included; null and wordless texts have 0, long ones count whole; an empty table gives an empty one; other columns are not read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

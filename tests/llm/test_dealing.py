@@ -39,6 +39,24 @@ def test_every_permutation_is_alike(spark):
     assert set(seen) == set(permutations(range(2))) and max(seen.values()) < 13
 
 
+def test_shards_and_slots_follow_nothing(spark, monkeypatch):
+    """Over many parts: which shard and slot a row gets doesn't hang on where it lay."""
+    monkeypatch.setattr(sharding, "PART_ROWS", 300)
+    docs = spark.range(0, 12_000, 1, 5).selectExpr("id doc_id", "cast(id as string) text")
+    out = sharding.shuffle_into_shards(docs, 6, 11).toPandas()
+    table = np.histogram2d(out.doc_id, out["shard"], [20, 6])[0]
+    assert table.sum(axis=0).tolist() == [2000] * 6
+    chi = ((table - 100) ** 2 / 100).sum()
+    assert abs(chi - 19 * 5) < 5 * np.sqrt(2 * 19 * 5)
+    within = np.histogram2d(out.doc_id, out["slot"], [10, 10])[0]
+    assert abs(((within - 120) ** 2 / 120).sum() - 81) < 5 * np.sqrt(2 * 81)
+    # Neighbours part: as many as chance has it stay in one shard, and next to each other.
+    order = out.sort_values("doc_id")
+    same = (order["shard"].to_numpy()[1:] == order["shard"].to_numpy()[:-1]).mean()
+    assert same == pytest.approx(1 / 6, abs=0.02)
+    assert (np.abs(np.diff(order["slot"].to_numpy())) == 1).mean() < 0.005
+
+
 def test_shards(spark, monkeypatch):
     monkeypatch.setattr(sharding, "PART_ROWS", 20)
     monkeypatch.setattr(sharding, "SLICE_ROWS", 3)
@@ -52,6 +70,8 @@ def test_shards(spark, monkeypatch):
     want = sorted((str(i), len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t, _ in rows)
     assert sorted((str(r.doc_id), r.size, r.text_crc32) for r in out) == want
     assert sharding.shuffle_into_shards(docs.limit(0), 7).count() == 0
+    monkeypatch.setattr(sharding, "MATRIX", 14)
+    assert sorted(Counter(r.shard for r in sharding.shuffle_into_shards(docs, 7).collect()).values()) == sorted(sizes.values())
 
 
 def water(sizes, weights=(5, 2, 1), most=3):
@@ -98,6 +118,29 @@ def test_mix(spark, monkeypatch):
     assert mixing.pareto_mix(docs.limit(0)).count() == 0
 
 
+def plain_due(target, cells, most=3):
+    """Raises the rate of all that are below the most until the words add up."""
+    low, high = 0.0, 1e9
+    for _ in range(200):
+        rate = (low + high) / 2
+        low, high = (rate, high) if sum(n * min(most, rate * w) for w, n in cells.items()) < target else (low, rate)
+    return {w: min(most, rate * w) for w in cells}
+
+
+@pytest.mark.parametrize("target, cells", [(100.0, {1: 40, 2: 30, 7: 10}), (230.0, {1: 40, 2: 30, 7: 10}), (240.0, {1: 40, 2: 30, 7: 10}), (5.0, {3: 50}), (0.0, {1: 4})])
+def test_due_copies(spark, target, cells):
+    df = spark.createDataFrame([(None, target, w, n) for w, n in cells.items()] + [("x", 1.0, 1, 0), ("x", 1.0, 2, 5)], "source string, target double, weight long, words long")
+    got = {r.weight: r.due for r in mixing.due_copies(df).filter("source is null").collect()}
+    assert got == pytest.approx(plain_due(target, cells), abs=1e-9)
+
+
+def test_longer_documents_are_likelier(spark):
+    docs = spark.range(6000).selectExpr("id doc_id", "repeat('w ', if(id % 3 = 0, 64, 3)) text", "if(id < 5000, 'a', 'b') source")
+    got = mixing.pareto_mix(docs, weights=(1, 6)).filter("source = 'a'")
+    mean = {r["size"]: r.c for r in got.groupBy("size").agg(F.avg("copies").alias("c")).collect()}
+    assert mean[64] / mean[3] == pytest.approx(7 / 2, rel=0.15) and mean[64] < 1
+
+
 def test_weights_set_the_chances(spark):
     """Documents of three times the weight are due three times the copies."""
     docs = spark.range(4000).selectExpr("id doc_id", "'w w' text", "if(id < 3000, 'a', 'b') source", "if(id % 2 = 0, 3.0, 1.0) weight")

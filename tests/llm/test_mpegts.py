@@ -65,3 +65,20 @@ def test_tables(spark):
     found = [(r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) for r in got]
     assert sorted(found) == sorted(want[key(i, t)] for i, t, _ in rows)
     assert all(r.units[0].random_access for r in got) and m.encode_media(docs.limit(0)).count() == 0
+
+
+def test_damaged_streams_are_rows_with_an_error(spark):
+    whole = m.to_transport_stream(b"abc" * 100)
+    rng = np.random.default_rng(4)
+    broken = [b"G", whole[:-188], b"\0" + whole[1:], whole[:188 * 2]]
+    for _ in range(300):
+        bad = bytearray(whole)
+        for at in rng.integers(0, len(bad), rng.integers(1, 6)):
+            bad[at] = rng.integers(0, 256)
+        broken.append(bytes(bad))
+    rows = [(k, 300, s) for k, s in enumerate([whole, None, *broken])]
+    got = {r.doc_id: r for r in m.decode_media(spark.createDataFrame(rows, "doc_id long, n_bytes long, media binary")).collect()}
+    assert got[0].error is None and got[0].payload_sha256 == hashlib.sha256(b"abc" * 100).hexdigest() and got[1].n_packets == 0
+    assert "whole packets" in got[2].error and "sync" in got[4].error
+    for k, _, s in rows[2:]:
+        assert got[k].media_sha256 == hashlib.sha256(s).hexdigest() and (got[k].error is None) == (got[k].payload_sha256 is not None)
