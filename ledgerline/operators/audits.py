@@ -67,25 +67,24 @@ TOKEN_MEASURES = (
 def placeholder_token_summary(records: DataFrame, by: tuple[str, ...] = ("dataset", "source"), column: str = "business_address") -> DataFrame:
     """Measures of each placeholder in each data set and source; all placeholders appear.
 
-    A row's tokens are summed within the row first, so rows and occurrences come
-    from one grouping without distinct counts.
+    Each hit of a row says whether it is the row's first of its token, so rows
+    and occurrences come from one grouping without distinct counts.
     """
-    rows = placeholder_flags(records, column).select(*by, "whole_token", F.filter("tok", lambda t: tx.is_placeholder(tx.clean_token(t))).alias("hits"))
-    n = lambda cond: F.size(F.filter("hits", cond)).cast("long")
-
-    def measures(token: str) -> Column:
-        same = lambda t: F.lower(tx.clean_token(t)) == token
-        case = lambda kind: n(lambda t: same(t) & (tx.casing(tx.clean_token(t)) == kind))
-        raw = n(lambda t: F.lower(t) == token)
-        values = [F.coalesce(F.col("whole_token") == token, F.lit(False)).cast("long"), n(same), raw, (n(same) > 0).cast("long"), (raw > 0).cast("long")]
-        values += [case("upper"), case("lower"), case("title"), case("other"), n(lambda t: same(t) & (t != tx.clean_token(t))), n(lambda t: same(t) & (t == tx.clean_token(t)))]
-        return F.struct(F.lit(token).alias("token"), *[v.alias(m) for v, m in zip(values, TOKEN_MEASURES, strict=True)])
-
+    rows = placeholder_flags(records, column)
+    cleaned = F.filter(F.transform("tok", lambda t: F.struct(t.alias("raw"), tx.clean_token(t).alias("clean"))), lambda t: tx.is_placeholder(t["clean"]))
+    rows = rows.select(*by, "whole_token", cleaned.alias("hits"))
     # Most rows have no placeholder at all: they only say that their group is there.
     some = rows.filter((F.size("hits") > 0) | F.col("whole_token").isNotNull())
-    counted = some.select(*by, F.explode(F.array(*[measures(t) for t in tx.PLACEHOLDERS])).alias("m")).select(*by, "m.*")
+    some = some.withColumn("tokens", F.transform("hits", lambda h: F.lower(h["clean"]))).withColumn("raws", F.transform("hits", lambda h: F.lower(h["raw"])))
+    hits = some.select(*by, "whole_token", "tokens", "raws", F.posexplode_outer("hits").alias("pos", "hit"))
+    token, at = F.get("tokens", F.col("pos")), F.col("pos") + 1
+    raw, kind = F.get("raws", F.col("pos")) == token, F.when(F.col("pos").isNotNull(), tx.casing(F.col("hit.clean")))
+    first, first_raw = F.array_position("tokens", token) == at, raw & (F.array_position("raws", token) == at)
+    whole, bare = F.col("pos").isNull(), F.col("hit.raw") == F.col("hit.clean")
+    values = [whole, ~whole, raw, first, first_raw, kind == "upper", kind == "lower", kind == "title", kind == "other", ~bare, bare]
+    counted = hits.select(*by, F.coalesce(token, "whole_token").alias("token"), *[v.alias(m) for m, v in zip(TOKEN_MEASURES, values, strict=True)])
     groups = rows.select(*by).distinct().withColumn("token", F.explode(F.array(*[F.lit(t) for t in tx.PLACEHOLDERS])))
-    sums = counted.groupBy(*by, "token").agg(*[F.sum(m).alias(m) for m in TOKEN_MEASURES])
+    sums = counted.groupBy(*by, "token").agg(*[F.count_if(m).alias(m) for m in TOKEN_MEASURES])
     return groups.join(sums, [*by, "token"], "left").select(*by, "token", *[_one(m).alias(m) for m in TOKEN_MEASURES])
 
 
@@ -164,13 +163,29 @@ def reconcile(agreed: DataFrame, edges: DataFrame, prefix: str = "S3-", strict:
 # Countries over edges.
 
 
+def _country(records: DataFrame, id_name: str, name: str) -> DataFrame:
+    return records.select(F.col("entity_id").alias(id_name), tx.strip(or_unknown(F.col("country"))).alias(name))
+
+
 def country_edges(edges: DataFrame, s1: DataFrame, targets: DataFrame) -> DataFrame:
-    """Resolved edges with both countries, each target under its last parent (``ord``): one pass for both target sources."""
-    last = edges.groupBy("target_id").agg(F.max_by("s1_id", "ord").alias("s1_id"))
-    left = s1.select(F.col("entity_id").alias("s1_id"), or_unknown(F.col("country")).alias("s1_country"))
-    right = targets.select(F.col("entity_id").alias("target_id"), or_unknown(F.col("country")).alias("target_country"))
-    rows = last.join(right, "target_id").join(left, "s1_id")
-    return rows.withColumn("target_source", source_tag(F.col("target_id"))).withColumn("same", F.col("s1_country") == F.col("target_country"))
+    """Resolved edges with both countries, stripped, each target under its last parent (``ord``) that has a record: one pass for both target sources."""
+    own = edges.withColumn("target_source", source_tag(F.col("target_id"))).filter(F.col("target_source") != "OTHER")
+    own = own.join(_country(s1, "s1_id", "s1_country"), "s1_id")
+    last = own.groupBy("target_id", "target_source").agg(F.max_by(F.struct("s1_id", "s1_country"), "ord").alias("p")).select("target_id", "target_source", "p.*")
+    rows = last.join(_country(targets, "target_id", "target_country"), "target_id")
+    return rows.withColumn("same", F.col("s1_country") == F.col("target_country"))
+
+
+def country_missing(entities: DataFrame, edges: DataFrame, s1: DataFrame, targets: DataFrame) -> DataFrame:
+    """One row: truth rows whose entity has no record, edges of the others by target source, their targets without a record, and how many entity records there are."""
+    known = s1.select(F.col("entity_id").alias("s1_id")).distinct()
+    lost = entities.select("s1_id").join(known, "s1_id", "left_anti").agg(F.count(F.lit(1)).alias("missing_s1_rows"))
+    own = edges.withColumn("src", source_tag(F.col("target_id"))).filter(F.col("src") != "OTHER").join(known, "s1_id", "left_semi")
+    there = targets.select(F.col("entity_id").alias("target_id")).distinct().withColumn("there", F.lit(1))
+    each = own.groupBy("target_id", "src").agg(F.count(F.lit(1)).alias("n")).join(there, "target_id", "left")
+    of = lambda s: F.coalesce(F.sum(F.when(F.col("src") == s, F.col("n"))), F.lit(0)).alias(f"total_{s.lower()}_edges")
+    gone = lambda s: F.count_if((F.col("src") == s) & F.col("there").isNull()).alias(f"missing_{s.lower()}_targets")
+    return lost.crossJoin(each.agg(of("S2"), of("S3"), gone("S2"), gone("S3"))).crossJoin(s1.agg(F.count(F.lit(1)).alias("s1_entities_resolved")))
 
 
 def cross_country_slices(resolved: DataFrame, sources: tuple[str, ...] = ("S2", "S3")) -> DataFrame:

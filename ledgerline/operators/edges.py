@@ -22,6 +22,12 @@ def explode_lists(lists: DataFrame, list_col: str = "matched_entity_ids", id_col
     return rows.select("s1_id", "target_id", source_tag(F.col("target_id")).alias("target_source"), "pos")
 
 
+def naive_edge_count(lists: DataFrame, list_col: str = "matched_entity_ids") -> DataFrame:
+    """One row, ``edges``: the pieces between commas of all lists that aren't blank, whatever they are."""
+    filled = F.trim(F.coalesce(list_col, F.lit(""))) != ""
+    return lists.agg(F.coalesce(F.sum(F.when(filled, F.size(F.split(list_col, ",")))), F.lit(0)).alias("edges"))
+
+
 def implode_lists(entities: DataFrame, edges: DataFrame, name: str = "matched_entity_ids") -> DataFrame:
     """One row an entity, its distinct targets sorted and comma-joined; empty for those without any."""
     lists = edges.groupBy("s1_id").agg(F.array_join(F.array_sort(F.collect_set("target_id")), ",").alias(name))

@@ -8,24 +8,57 @@ from pyspark.sql import functions as F
 from ledgerline.functions.text import PLACEHOLDERS, normalise, tokens
 
 
-def name_keys(name: Column) -> dict[str, Column]:
-    """Blocking keys of a normalised name: itself, its first token, its sorted tokens, how it sounds, its numbers, and its first letters without blanks."""
+#: Lanes of ``blocking_keys``.
+LANES = ("name", "first", "sorted", "sound", "numbers", "letters", "grams", "postcode", "address")
+
+
+def blocking_keys(name: Column, address: Column) -> dict[str, Column]:
+    """Arrays of blocking keys of a normalised name and address, by lane: the name, its first token, its sorted tokens, how it sounds, its numbers, its first letters without blanks, its runs of four letters; the address's numbers of four to seven digits, and all of it."""
     words = tokens(name)
+    joined = F.replace(name, F.lit(" "), F.lit(""))
     sound = F.array_join(F.transform(words, F.soundex), " ")
     numbers = F.array_join(F.array_sort(F.regexp_extract_all(name, F.lit("(\\d+)"))), " ")
-    return {"name": name, "first": words[0], "sorted": F.array_join(F.array_sort(words), " "), "sound": sound, "numbers": numbers, "letters": F.substring(F.replace(name, F.lit(" "), F.lit("")), 1, 6)}
+    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(joined) - 3, F.lit(1))), lambda k: F.substring(joined, k, F.lit(4)))
+    one = {"name": name, "first": words[0], "sorted": F.array_join(F.array_sort(words), " "), "sound": sound, "numbers": numbers, "letters": F.substring(joined, 1, 6), "address": address}
+    many = {"grams": F.array_distinct(grams), "postcode": F.array_distinct(F.regexp_extract_all(address, F.lit("(?<![0-9])([0-9]{4,7})(?![0-9])")))}
+    return {k: F.array(v) for k, v in one.items()} | many
+
+
+def _keyed(df: DataFrame, name: str, lanes: tuple[str, ...], nfkc: bool) -> DataFrame:
+    """``name, country, lane, key``, and the address's different words."""
+    address = F.col("business_address") if "business_address" in df.columns else F.lit("")
+    rows = df.select(F.col("entity_id").alias(name), "country", normalise(F.col("business_name"), nfkc).alias("n"), normalise(address, nfkc).alias("a"))
+    keys = blocking_keys(F.col("n"), F.col("a"))
+    named = lambda lane: lambda key: F.struct(F.lit(lane).alias("lane"), key.alias("key"))
+    lane = F.explode(F.flatten(F.array(*[F.transform(keys[k], named(k)) for k in lanes])))
+    rows = rows.select(name, "country", F.array_distinct(F.filter(tokens(F.col("a")), lambda t: (t != "") & ~t.isin(*PLACEHOLDERS))).alias("words"), lane.alias("l"))
+    return rows.select(name, "country", "words", "l.lane", "l.key").filter((F.col("key") != "") & F.col("key").isNotNull())
 
 
-def blocking_pairs(left: DataFrame, right: DataFrame, lanes: tuple[str, ...] = ("name", "sorted"), nfkc: bool = True) -> DataFrame:
-    """``s1_id, target_id, lanes``: pairs of records of one country that share a lane's key; empty keys pair nothing. Each pair comes once with all lanes that found it."""
+def block_sizes(left: DataFrame, right: DataFrame, lanes: tuple[str, ...] = ("name", "sorted"), nfkc: bool = True) -> DataFrame:
+    """``country, lane, key, left_n, right_n, pairs`` of every block that has rows on both sides; counted by task before anything is dealt out."""
+    count = lambda df, name, n: _keyed(df, name, lanes, nfkc).groupBy("country", "lane", "key").agg(F.count(F.lit(1)).alias(n))
+    both = count(left, "s1_id", "left_n").join(count(right, "target_id", "right_n"), ["country", "lane", "key"])
+    return both.withColumn("pairs", F.col("left_n") * F.col("right_n"))
 
-    def keyed(df: DataFrame, name: str) -> DataFrame:
-        keys = name_keys(normalise(F.col("business_name"), nfkc))
-        lane = F.explode(F.array(*[F.struct(F.lit(k).alias("lane"), keys[k].alias("key")) for k in lanes]))
-        rows = df.select(F.col("entity_id").alias(name), "country", lane.alias("l"))
-        return rows.select(name, "country", "l.lane", "l.key").filter((F.col("key") != "") & F.col("key").isNotNull())
 
-    pairs = keyed(left, "s1_id").join(keyed(right, "target_id"), ["country", "lane", "key"])
+def blocking_pairs(left: DataFrame, right: DataFrame, lanes: tuple[str, ...] = ("name", "sorted"), nfkc: bool = True, most_pairs: int | None = None) -> DataFrame:
+    """``s1_id, target_id, lanes``: pairs of records of one country that share a lane's key; empty keys pair nothing. Each pair comes once with all lanes that found it.
+
+    With ``most_pairs``, a block of more pairs pairs only records that share a
+    word of their addresses too (placeholders don't count); ``block_sizes`` tells
+    which blocks those are. Without, all pairs of every block come.
+    """
+    a, b = _keyed(left, "s1_id", lanes, nfkc), _keyed(right, "target_id", lanes, nfkc)
+    block = ["country", "lane", "key"]
+    if most_pairs is None:
+        pairs = a.drop("words").join(b.drop("words"), block)
+    else:
+        crowded = block_sizes(left, right, lanes, nfkc).filter(F.col("pairs") > most_pairs).select(*block, F.lit(True).alias("crowded"))
+        # Rows of a crowded block go under each word of their address, all others under none.
+        words = F.when(F.col("crowded"), F.col("words")).otherwise(F.array(F.lit("")))
+        split = lambda df, name: df.join(crowded, block, "left").select(name, *block, F.explode(words).alias("word"))
+        pairs = split(a, "s1_id").join(split(b, "target_id"), [*block, "word"])
     return pairs.groupBy("s1_id", "target_id").agg(F.array_join(F.array_sort(F.collect_set("lane")), ",").alias("lanes"))
 
 
@@ -59,3 +92,4 @@ def exclusive_assignment(scored: DataFrame) -> DataFrame:
     """The best pair of each target by ``score``, ties to the smaller entity id: no target is given away twice."""
     best = F.struct((-F.col("score")).alias("s"), F.col("s1_id").alias("i"))
     return scored.groupBy("target_id").agg(F.min(best).alias("b")).select(F.col("b.i").alias("s1_id"), "target_id", (-F.col("b.s")).alias("score"))
+

@@ -93,3 +93,33 @@ def threshold_sweep(scored_pairs: DataFrame, n_true: int, steps: int = 100) -> D
     found = F.col("tp") + F.col("fp")
     f = F.when(F.col("tp") > 0, F.lit(1.25) * F.col("tp") / (F.lit(0.25 * n_true) + found)).otherwise(0.0)
     return rows.select((F.col("step") / float(steps)).alias("threshold"), "tp", "fp", ratio(F.col("tp"), found, 0.0).alias("precision"), ratio(F.col("tp"), F.lit(n_true), 0.0).alias("recall"), f.alias("f0_5"))
+
+
+def macro_threshold_sweep(entities: DataFrame, truth: DataFrame, scored_pairs: DataFrame, steps: int = 100) -> DataFrame:
+    """``threshold, macro_f0_5``: the mean F0.5 of all ``entities`` if their pairs of at least that ``score`` (0 to 1) are predicted, for each threshold, and 1.0 for none predicted.
+
+    ``truth`` has ``s1_id, target_id``, ``scored_pairs`` also ``score``. An
+    entity's F0.5 changes at the steps where it has pairs; the changes are summed
+    by step, so entities are grouped once whatever the number of thresholds.
+    """
+    from pyspark.sql.window import Window
+
+    true = truth.select("s1_id", "target_id").distinct()
+    n_true = entities.select("s1_id").distinct().join(true.groupBy("s1_id").agg(F.count(F.lit(1)).alias("n_true")), "s1_id", "left").select("s1_id", F.coalesce("n_true", F.lit(0)).alias("n_true"))
+    step = F.least(F.floor(F.col("score") * steps), F.lit(steps - 1)).cast("int")
+    pairs = scored_pairs.groupBy("s1_id", "target_id").agg(F.max("score").alias("score")).join(true.withColumn("hit", F.lit(1)), ["s1_id", "target_id"], "left")
+    counts = pairs.groupBy("s1_id", step.alias("step")).agg(F.count(F.lit(1)).alias("n"), F.count("hit").alias("tp")).join(n_true, "s1_id")
+    down = Window.partitionBy("s1_id").orderBy(F.desc("step"))
+    rows = counts.select("s1_id", "step", "n_true", F.sum("n").over(down).alias("found"), F.sum("tp").over(down).alias("both"), "n", "tp")
+    after = f_half(F.col("both"), F.col("n_true"), F.col("found"))
+    before = f_half(F.col("both") - F.col("tp"), F.col("n_true"), F.col("found") - F.col("n"))
+    changes = rows.groupBy("step").agg(F.sum(after - before).alias("change"))
+    every = entities.sparkSession.range(steps + 1).select(F.col("id").cast("int").alias("step")).join(changes, "step", "left")
+    total = n_true.agg(F.count(F.lit(1)).alias("entities"), F.count_if(F.col("n_true") == 0).cast("double").alias("start"))
+    sums = every.select("step", F.coalesce(F.sum("change").over(Window.orderBy(F.desc("step"))), F.lit(0.0)).alias("change")).crossJoin(total)
+    return sums.select((F.col("step") / float(steps)).alias("threshold"), F.when(F.col("entities") > 0, (F.col("start") + F.col("change")) / F.col("entities")).otherwise(0.0).alias("macro_f0_5"))
+
+
+def best_threshold(sweep: DataFrame) -> DataFrame:
+    """The one row of a sweep with the greatest macro F0.5; ties go to the higher threshold."""
+    return sweep.orderBy(F.desc("macro_f0_5"), F.desc("threshold")).limit(1)

@@ -16,7 +16,8 @@ from ledgerline.functions.measures import source_tag
 SLICES = 256
 #: A stratum of so many entities has one validation entity at least.
 LEAST_STRATUM = 5
-LEAKAGE_WARNING = "WARNING: targets are shared between the train and validation folds."
+#: Fixed value: the warning where folds share targets.
+LEAKAGE_WARNING = "Potential target-level leakage exists; E2 exclusivity scan is required before interpreting cross-S1 target reuse."
 
 
 def split_hash(seed: int, s1_id: Column) -> Column:
@@ -79,7 +80,7 @@ def target_overlap(folds: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def leakage_summary(folds: DataFrame, edges: DataFrame) -> DataFrame:
-    """One row: fold sizes, targets in each fold, shared and multi-parent targets by source, and a warning where any is shared."""
+    """One row: fold sizes, targets in each fold, shared and multi-parent targets by source, and a warning where any is shared, else null."""
     t = _targets(folds, edges)
     is_source = lambda s: F.col("source") == s.upper()
     columns = [F.count_if(is_source(s) & (F.col(f) > 0)).alias(f"{f}_{s}_target_count") for f in ("train", "val") for s in ("s2", "s3")]
@@ -87,4 +88,4 @@ def leakage_summary(folds: DataFrame, edges: DataFrame) -> DataFrame:
     columns += [F.count_if(is_source(s) & (F.col("train") + F.col("val") > 1)).alias(f"{s}_targets_under_multiple_s1") for s in ("s2", "s3")]
     sizes = folds.agg(F.count_if(F.col("fold") == "train").alias("train_s1_count"), F.count_if(F.col("fold") == "val").alias("val_s1_count"))
     row = sizes.crossJoin(t.agg(*columns))
-    return row.withColumn("warning", F.when(F.col("shared_s2_target_count") + F.col("shared_s3_target_count") > 0, LEAKAGE_WARNING).otherwise(""))
+    return row.withColumn("warning", F.when(F.col("shared_s2_target_count") + F.col("shared_s3_target_count") > 0, LEAKAGE_WARNING))

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerline.operators.recall import not_in
 
-#: Examples that a message shows.
+#: Examples that a message shows, and malformed rows that have a message each.
 EXAMPLES = 5
+MALFORMED_SHOWN = 1000
 #: Rules in report order.
 RULES = ("malformed_row", "duplicate_row", "repeated_id", "self_match", "wrong_prefix", "unknown_id", "missing_s1", "unexpected_s1")
 #: Messages.
@@ -79,11 +82,16 @@ class Verdict:
 
 
 def _messages(found: DataFrame, name: str, column: str) -> list[str]:
-    """One message a rule, with how many offend and the first of them; malformed rows have one each."""
+    """One message a rule, with how many offend and the first of them; malformed rows have one each, up to MALFORMED_SHOWN, and one for the number of the others."""
     first = found.withColumn("r", F.row_number().over(Window.partitionBy("rule").orderBy(F.length("offender").isNull(), "offender"))).filter(F.col("r") <= EXAMPLES)
     shown = first.groupBy("rule").agg(F.array_sort(F.collect_list("offender")).alias("ex")).join(found.groupBy("rule").count(), "rule").collect()
     by_rule = {r["rule"]: r for r in shown}
-    out = [f"{name}: malformed row (no tab) at line {r['offender']}" for r in found.filter("rule = 'malformed_row'").orderBy(F.col("offender").cast("long")).toLocalIterator()]
+    out = []
+    if "malformed_row" in by_rule:
+        rows = found.filter("rule = 'malformed_row'").orderBy(F.col("offender").cast("long")).limit(MALFORMED_SHOWN).collect()
+        out += [f"{name}: malformed row (no tab) at line {r['offender']}" for r in rows]
+        if (more := by_rule["malformed_row"]["count"] - len(rows)) > 0:
+            out.append(f"{name}: {more} more malformed row(s) (no tab)")
     for rule in RULES[1:]:
         if rule in by_rule:
             r = by_rule[rule]
@@ -93,15 +101,14 @@ def _messages(found: DataFrame, name: str, column: str) -> list[str]:
 
 
 def _checked_file(spark: SparkSession, path: str, header: tuple[str, ...], required: DataFrame, valid_ids: DataFrame | None, verdict: Verdict) -> DataFrame | None:
-    from ledgerline.sources.sinks import file_facts
     from ledgerline.sources.tsv import Catalog, numbered_lines
 
     name = path.rsplit("/", 1)[-1]
     if not Catalog(spark, {"f": path}).exists("f"):
         verdict.errors.append(f"File not found: {path}")
         return None
-    facts = file_facts(spark, path).first()  # none for an empty file
-    if facts is not None and not facts["valid_utf8"]:
+    # Line by line, so a large file is read in splits.
+    if not spark.read.text(path).filter(~F.is_valid_utf8("value")).isEmpty():
         verdict.errors.append(f"{name}: not valid UTF-8.")
         return None
     head = spark.read.text(path).limit(1).collect()
@@ -122,14 +129,23 @@ def _checked_file(spark: SparkSession, path: str, header: tuple[str, ...], requi
 
 
 def validate_results(spark: SparkSession, matching_path: str, required_path: str, candidate_path: str | None = None, target_paths: tuple[str, ...] = (), check_ids: bool = False) -> Verdict:
-    """PASS or FAIL of a results file and, where given, its candidates, with errors and warnings."""
+    """PASS or FAIL of a results file and, where given, its candidates, with errors and warnings; a file that can't be read is an error."""
+    verdict = Verdict("FAIL")
+    try:
+        _validated(spark, verdict, matching_path, required_path, candidate_path, target_paths, check_ids)
+    except (OSError, PySparkException, Py4JJavaError) as failed:
+        verdict.errors.append(f"Could not read a file: {str(failed).splitlines()[0]}.")
+        verdict.status = "FAIL"
+    return verdict
+
+
+def _validated(spark: SparkSession, verdict: Verdict, matching_path: str, required_path: str, candidate_path: str | None, target_paths: tuple[str, ...], check_ids: bool) -> None:
     from ledgerline.sources.tsv import CANDIDATE_HEADER, TRUTH_HEADER, Catalog, read_ids
 
-    verdict = Verdict("FAIL")
     exists = lambda p: Catalog(spark, {"f": p}).exists("f")
     if not exists(required_path):
         verdict.errors.append(f"Test source1 file not found: {required_path}.")
-        return verdict
+        return
     required = read_ids(spark, required_path).withColumnRenamed("id", "s1_id")
     valid = None
     if not check_ids:
@@ -151,4 +167,3 @@ def validate_results(spark: SparkSession, matching_path: str, required_path: str
             ex = ", ".join(r[0] for r in outside.orderBy("s1_id").limit(EXAMPLES).collect())
             verdict.warnings.append(f"{n} S1 entity(ies) have matched IDs not present among the candidates, e.g. {ex}.")
     verdict.status = "FAIL" if verdict.errors else "PASS"
-    return verdict

@@ -18,10 +18,12 @@ def main(argv: list[str] | None = None) -> int:
     commands = parser.add_subparsers(dest="command", required=True)
     for name in ("preprocess", "foundation", "structure"):
         p = commands.add_parser(name)
-        p.add_argument("-d", "--data", required=True)
+        p.add_argument("-d", "--data", help="folder with train and test; by default the nearest one")
         p.add_argument("-o", "--output-dir", required=True)
-        p.add_argument("-s", "--seed", type=int, default=42)
-        p.add_argument("--expected", default="{}", help="expected counts, as JSON")
+        if name == "foundation":
+            p.add_argument("-s", "--seed", type=int, default=42)
+        if name == "structure":
+            p.add_argument("--expected", default="{}", help="expected counts, as JSON")
     p = commands.add_parser("validate")
     p.add_argument("-m", "--matching", required=True)
     p.add_argument("-c", "--candidate")
@@ -36,7 +38,7 @@ def main(argv: list[str] | None = None) -> int:
             write_validation_log(found, a.log, " ".join(argv or sys.argv[1:]))
         print("\n".join([found.status, *(f"ERROR: {e}" for e in found.errors), *(f"WARNING: {w}" for w in found.warnings)]))
         return found.exit_code
-    catalog = audit_runs.standard_catalog(spark, a.data)
+    catalog = audit_runs.standard_catalog(spark, a.data or audit_runs.data_root())
     if a.command == "preprocess":
         audit_runs.preprocessing_audit(catalog, a.output_dir)
     elif a.command == "foundation":

@@ -38,8 +38,7 @@ def _report(path: str, title: str, sections: dict[str, list[dict] | dict | str])
             body = [{"measure": k, "value": v} for k, v in body.items()]
         table = body if isinstance(body, str) else sinks.markdown_table(list(body[0]) if body else [], [tuple(r.values()) for r in body])
         parts.append(f"## {head}\n\n{table}")
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text("\n\n".join(parts) + "\n", encoding="utf-8")
+    sinks.write_text("\n\n".join(parts) + "\n", path)
 
 
 def preprocessing_audit(catalog: Catalog, output_dir: str, max_examples: int = 50) -> dict[str, object]:
@@ -94,8 +93,8 @@ def _write_scores(scores: DataFrame) -> None:
 def benchmark(entities: DataFrame, truth: DataFrame, seed: int = 42, fraction: float = 0.01, catalog: Catalog | None = None) -> list[dict[str, object]]:
     """Times the split, explosion, scoring, recall and the writing of scores over a stratified sample. Its predictions are all but one true target, and one false one.
 
-    With a catalog, the reading of S1 and of the truth, and the validator with
-    the truth as results, are timed over the whole files.
+    With a catalog, the reading of as many records of S1 is timed too, and that of
+    the truth and the validator with the truth as results over the whole files.
     """
     sample = split.stratified_sample(entities, fraction, seed).cache()
     own = truth.join(sample.select("s1_id"), "s1_id", "left_semi").select("s1_id", "target_id").cache()
@@ -116,7 +115,8 @@ def benchmark(entities: DataFrame, truth: DataFrame, seed: int = 42, fraction: f
     out = []
     if catalog is not None:
         n_all, m_all = entities.count(), truth.count()
-        out.append(timed("tsv_reading", catalog.records("train_S1").count(), 0, lambda: run(catalog.records("train_S1"))()))
+        # As many records as the sample has, like the stages after it.
+        out.append(timed("tsv_reading", n, 0, lambda: run(catalog.records("train_S1", n))(), fraction))
         out.append(timed("gt_parsing", n_all, m_all, lambda: run(edges.explode_lists(catalog.truth()))()))
         out.append(timed("validator", n_all, m_all, lambda: validate_results(catalog.spark, catalog.paths["train_GT"], catalog.paths["train_S1"])))
     out += [timed(k, n, m, f, fraction) for k, f in stages.items()]
@@ -166,6 +166,7 @@ def validation_foundation(catalog: Catalog, output_dir: str, seed: int = 42, val
 class StructureReport:
     """What a structural audit found."""
 
+    missing: dict
     reconciliation: dict
     cross_country: list[dict]
     country_verdict: dict
@@ -190,6 +191,7 @@ def structure_audit(catalog: Catalog, output_dir: str, expected: dict[str, int],
     stats = audits.exclusivity_stats(truth).orderBy(F.when(F.col("target_source") == "OVERALL", 1).otherwise(0), "target_source").cache()
     tables = {
         "cross_country_summary.csv": audits.cross_country_slices(resolved).orderBy(order, "s1_country", "target_source"),
+        "cross_country_missing.csv": audits.country_missing(entities, truth, s1, targets),
         "cross_country_examples.tsv": audits.cross_country_examples(resolved, max_examples),
         "target_exclusivity_summary.csv": stats,
         "target_indegree_distribution.csv": audits.indegree_distribution(truth).orderBy(F.when(F.col("target_source") == "OVERALL", 1).otherwise(0), "target_source", "in_degree"),
@@ -199,7 +201,7 @@ def structure_audit(catalog: Catalog, output_dir: str, expected: dict[str, int],
         sinks.write_report_csv(df, f"{output_dir}/{name}", sep="\t" if name.endswith(".tsv") else ",")
     row = audits.reconciliation(entities, truth, s1, targets, expected).first().asDict()
     out = {
-        "reconciliation": row, "cross_country": _rows(tables["cross_country_summary.csv"]), "country_verdict": audits.country_verdict(resolved).first().asDict(),
+        "missing": _rows(tables["cross_country_missing.csv"])[0], "reconciliation": row, "cross_country": _rows(tables["cross_country_summary.csv"]), "country_verdict": audits.country_verdict(resolved).first().asDict(),
         "exclusivity": _rows(stats), "assignment_verdict": audits.assignment_verdict(stats).first().asDict(), "status": row["status"],
     }
     sinks.write_json(out, f"{output_dir}/structure_report.json")
@@ -212,6 +214,16 @@ def structure_audit(catalog: Catalog, output_dir: str, expected: dict[str, int],
     return report
 
 
+def data_root(start: str | Path = ".", name: str = "dataset") -> str:
+    """The nearest data folder: ``start`` itself where it has ``train``, else a folder ``name`` in it, in a folder of it, or in a folder above. Raises ValueError where there is none."""
+    start = Path(start).resolve()
+    for base in (start, *start.parents):
+        for found in (base, base / name, *sorted(base.glob(f"*/{name}"))):
+            if (found / "train").is_dir():
+                return str(found)
+    raise ValueError(f"no data folder at or above {start}")
+
+
 def standard_catalog(spark: SparkSession, root: str) -> Catalog:
     """The usual files under a folder: ``train/`` and ``test/`` with three sources each, and the training truth."""
     paths = {f"{s}_S{k}": f"{root}/{s}/{s}_source{k}.tsv" for s in ("train", "test") for k in (1, 2, 3)}

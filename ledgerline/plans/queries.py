@@ -58,7 +58,7 @@ deg AS (SELECT target_id, substr(target_id, 1, 2) AS source, count(*) AS d FROM
 targets AS (SELECT entity_id, business_name, business_address, country FROM er_s2 UNION ALL SELECT entity_id, business_name, business_address, country FROM er_s3),
 last_parent AS (SELECT target_id, max_by(s1_id, k) AS s1_id FROM er_truth GROUP BY target_id),
 cc AS (
-  SELECT l.s1_id, l.target_id, substr(l.target_id, 1, 2) AS source, a.country AS s1_country, b.country AS target_country, a.country = b.country AS same
+  SELECT l.s1_id, l.target_id, substr(l.target_id, 1, 2) AS source, trim(coalesce(a.country, 'Unknown')) AS s1_country, trim(coalesce(b.country, 'Unknown')) AS target_country, trim(coalesce(a.country, 'Unknown')) = trim(coalesce(b.country, 'Unknown')) AS same
   FROM last_parent l JOIN targets b ON l.target_id = b.entity_id JOIN er_s1 a ON l.s1_id = a.entity_id)
 """
 
@@ -182,7 +182,7 @@ def target_overlap_report(x: Fixture) -> DataFrame:
 @query(f"""SELECT (SELECT count(*) FROM folds WHERE fold = 'train') AS train_s1_count, (SELECT count(*) FROM folds WHERE fold = 'val') AS val_s1_count,
   {', '.join(f"count(*) FILTER (WHERE source = '{s.upper()}' AND {f} > 0) AS {f}_{s}_target_count" for f in ("train", "val") for s in ("s2", "s3"))},
   {', '.join(f"count(*) FILTER (WHERE source = '{s.upper()}' AND train > 0 AND val > 0) AS shared_{s}_target_count, count(*) FILTER (WHERE source = '{s.upper()}' AND train + val > 1) AS {s}_targets_under_multiple_s1" for s in ("s2", "s3"))},
-  CASE WHEN count(*) FILTER (WHERE train > 0 AND val > 0) > 0 THEN '{split.LEAKAGE_WARNING}' ELSE '' END AS warning FROM parents""")
+  CASE WHEN count(*) FILTER (WHERE train > 0 AND val > 0) > 0 THEN '{split.LEAKAGE_WARNING}' END AS warning FROM parents""")
 def leakage_summary(x: Fixture) -> DataFrame:
     return split.leakage_summary(_folds(x), x.truth)
 
@@ -285,6 +285,16 @@ def cross_country_examples(x: Fixture) -> DataFrame:
     return audits.cross_country_examples(_resolved(x))
 
 
+@query("""SELECT (SELECT count(*) FROM ent WHERE k % 10 = 0) AS missing_s1_rows, count(*) FILTER (WHERE src = 'S2') AS total_s2_edges, count(*) FILTER (WHERE src = 'S3') AS total_s3_edges,
+  count(DISTINCT CASE WHEN src = 'S2' AND o % 13 = 0 THEN target_id END) AS missing_s2_targets, count(DISTINCT CASE WHEN src = 'S3' AND o % 13 = 0 THEN target_id END) AS missing_s3_targets, (SELECT count(*) FROM ent WHERE k % 10 <> 0) AS s1_entities_resolved
+FROM (SELECT target_id, substr(target_id, 1, 2) AS src, CAST(split_part(target_id, '-', 2) AS BIGINT) AS o FROM er_truth WHERE k % 10 <> 0)""")
+def country_missing(x: Fixture) -> DataFrame:
+    """Where some entities and targets have no record."""
+    cols = ["entity_id", "country"]
+    targets = x.s2.filter("ok % 13 <> 0").select(*cols).unionByName(x.s3.filter("ok % 13 <> 0").select(*cols))
+    return audits.country_missing(_entities(x), _edges(x), x.s1.filter("k % 10 <> 0"), targets)
+
+
 @query(f"SELECT count(*) AS total_edges, count(*) FILTER (WHERE NOT same) AS cross_country_edges, CASE WHEN count(*) FILTER (WHERE NOT same) > 0 THEN '{audits.RISK}' WHEN count(*) > 0 THEN '{audits.SAFE}' ELSE '{audits.UNRESOLVED}' END AS architectural_status FROM cc")
 def country_partition_verdict(x: Fixture) -> DataFrame:
     return audits.country_verdict(_resolved(x))
@@ -376,7 +386,10 @@ def placeholder_token_summary(x: Fixture) -> DataFrame:
     return audits.placeholder_token_summary(_records(x))
 
 
-@query(_with(f"{_ADDR} SELECT source, entity_id, a = '' AS is_empty, a <> '' AND s = '' AS is_blank, whole AS whole_token, s = '' OR whole IS NOT NULL AS is_missing, coalesce(cleaned, false) AS has_cleaned, coalesce(raw, false) AS has_raw FROM fl LEFT JOIN hits USING (dataset, source, entity_id)"))
+@query(_with(f"""{_ADDR},
+parts AS (SELECT *, CASE WHEN s <> '' AND whole IS NULL THEN string_split_regex(s, '{_WS}+') ELSE [] END AS ts FROM fl)
+SELECT source, entity_id, a = '' AS is_empty, a <> '' AND s = '' AS is_blank, whole AS whole_token, s = '' OR whole IS NOT NULL AS is_missing,
+  len(list_filter(ts, lambda t: lower(trim(t, {_STRIP})) IN {_TOKENS})) > 0 AS has_cleaned, len(list_filter(ts, lambda t: lower(t) IN {_TOKENS})) > 0 AS has_raw FROM parts"""))
 def placeholder_row_flags(x: Fixture) -> DataFrame:
     return audits.placeholder_flags(_records(x)).select("source", "entity_id", "is_empty", "is_blank", "whole_token", "is_missing", "has_cleaned", "has_raw")
 
@@ -475,6 +488,27 @@ def pair_features(x: Fixture) -> DataFrame:
     return matching.pair_features(pairs, "a", "b").select("s1_id", "target_id", "jaccard", "edit_distance")
 
 
+@query("SELECT CAST(sum(len(string_split(matched_entity_ids, ','))) AS BIGINT) AS edges FROM er_gt WHERE matched_entity_ids <> ''")
+def naive_edge_count(x: Fixture) -> DataFrame:
+    return edges.naive_edge_count(x.gt)
+
+
+@query(f"""SELECT a.country, 'name' AS lane, a.key, a.n AS left_n, b.n AS right_n, a.n * b.n AS pairs
+FROM (SELECT country, {_norm('business_name')} AS key, count(*) AS n FROM er_s1 GROUP BY 1, 2) a JOIN (SELECT country, {_norm('business_name')} AS key, count(*) AS n FROM er_s2 GROUP BY 1, 2) b ON a.country = b.country AND a.key = b.key""")
+def block_sizes(x: Fixture) -> DataFrame:
+    return matching.block_sizes(x.s1, x.s2, ("name",))
+
+
+_NUMBERED = f"SELECT entity_id, country, array_to_string(list_sort(regexp_extract_all({_norm('business_name')}, '[0-9]+')), ' ') AS key, list_filter(string_split({_norm('business_address')}, ' '), lambda t: t <> '' AND t NOT IN {_TOKENS}) AS words"
+
+
+@query(_with(f"""blocks AS (SELECT a.entity_id AS s1_id, b.entity_id AS target_id, a.words AS x, b.words AS y, count(*) OVER (PARTITION BY a.country, a.key) AS pairs
+  FROM ({_NUMBERED} FROM er_s1) a JOIN ({_NUMBERED} FROM er_s2) b ON a.country = b.country AND a.key = b.key WHERE a.key <> '')
+SELECT s1_id, target_id, 'numbers' AS lanes FROM blocks WHERE pairs <= 12 OR len(list_intersect(x, y)) > 0"""))
+def crowded_blocks(x: Fixture) -> DataFrame:
+    return matching.blocking_pairs(x.s1, x.s2, ("numbers",), most_pairs=12)
+
+
 def _scored(x: Fixture) -> DataFrame:
     """Candidates with a score that follows from the pair, and whether they are true."""
     score = F.conv(F.substring(F.md5(F.concat("s1_id", "target_id").cast("binary")), 1, 4), 16, 10).cast("double") / 65536
@@ -492,6 +526,15 @@ def threshold_sweep(x: Fixture) -> DataFrame:
     return scoring.threshold_sweep(_scored(x), 5000)
 
 
+@query(_with(f"""{_SCORED}, steps AS (SELECT s1_id, least(floor(score * 20), 19)::INTEGER AS step, is_match FROM scored),
+grid AS (SELECT e.s1_id, t.step, coalesce(tn.n, 0) AS n FROM ent e CROSS JOIN (SELECT unnest(range(21))::INTEGER AS step) t LEFT JOIN tn ON e.s1_id = tn.s1_id),
+counts AS (SELECT g.s1_id, g.step, g.n, count(s.s1_id) AS p, count(*) FILTER (WHERE s.is_match) AS tp FROM grid g LEFT JOIN steps s ON g.s1_id = s.s1_id AND s.step >= g.step GROUP BY g.s1_id, g.step, g.n)
+SELECT step / 20e0 AS threshold, round(avg(CASE WHEN n = 0 AND p = 0 THEN 1e0 WHEN n = 0 OR p = 0 THEN 0e0 ELSE 1.25e0 * tp / (0.25e0 * n + p) END), 9) AS macro_f0_5 FROM counts GROUP BY step"""))
+def macro_threshold_sweep(x: Fixture) -> DataFrame:
+    out = scoring.macro_threshold_sweep(_entities(x), x.truth, _scored(x), 20)
+    return out.withColumn("macro_f0_5", F.round("macro_f0_5", 9))
+
+
 @query(_with(f"{_SCORED} SELECT arg_min(s1_id, (-score, s1_id)) AS s1_id, target_id, max(score) AS score FROM (SELECT DISTINCT s1_id, target_id, score FROM scored) GROUP BY target_id"))
 def exclusive_assignment(x: Fixture) -> DataFrame:
     return matching.exclusive_assignment(_scored(x))

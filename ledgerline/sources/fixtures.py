@@ -19,7 +19,7 @@ SELECT 'S2-' || CAST(o_orderkey AS STRING) AS entity_id,
   CASE o_orderkey % 5 WHEN 0 THEN upper(c_name) WHEN 1 THEN replace(c_name, '#', ' # ') WHEN 2 THEN c_name || ' Ltd' WHEN 3 THEN replace(c_name, '#', '') ELSE c_name END AS business_name,
   CASE o_orderkey % 11 WHEN 0 THEN '' WHEN 1 THEN n_name || ', NULL, ' || c_mktsegment WHEN 2 THEN n_name || ' n/a' WHEN 3 THEN '   ' WHEN 4 THEN '<NULL>'
     WHEN 5 THEN n_name || ', Na' WHEN 6 THEN upper(n_name) || ' - ' || lower(c_mktsegment) ELSE n_name || ', ' || c_mktsegment END AS business_address,
-  CASE WHEN o_orderkey % 97 = 0 THEN 'OTHER' ELSE r_name END AS country, o_custkey AS k, o_orderkey AS ok
+  CASE WHEN o_orderkey % 97 = 0 THEN 'OTHER' WHEN o_orderkey % 101 = 0 THEN '' WHEN o_orderkey % 103 = 0 THEN ' ' || r_name || '  ' WHEN o_orderkey % 107 = 0 THEN CAST(NULL AS STRING) ELSE r_name END AS country, o_custkey AS k, o_orderkey AS ok
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "er_s3": """
 SELECT 'S3-' || CAST(l_orderkey AS STRING) || '-' || CAST(l_suppkey AS STRING) AS entity_id, max(s_name) AS business_name, max(n_name) AS business_address, max(r_name) AS country,

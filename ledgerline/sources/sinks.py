@@ -1,13 +1,15 @@
 """Sinks: delimited tables, id lists, JSON, Markdown and manifests.
 
 Tables of any size are written by Spark as folders (``write_table``); reports
-are small results that a person reads, as single files.
+are small results that a person reads, as single files, local or in any store that
+Spark can write to.
 """
 
 from __future__ import annotations
 
 import csv
 import hashlib
+import io
 import json
 from pathlib import Path
 
@@ -21,24 +23,47 @@ def write_table(df: DataFrame, path: str, sep: str = ",", columns: list[str] | N
     df.write.mode("overwrite").csv(path, sep=sep, header=True, quote='"', escape='"', emptyValue="")
 
 
+def write_text(text: str, path: str) -> None:
+    """A report as one UTF-8 file: by Hadoop's file systems where the path names one (``scheme://``), else by the driver's own."""
+    if "://" not in path:
+        Path(path).parent.mkdir(parents=True, exist_ok=True)
+        Path(path).write_bytes(text.encode())
+        return
+    spark = SparkSession.getActiveSession()
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_bytes(path: str) -> bytes:
+    """A report file of either kind."""
+    if "://" not in path:
+        return Path(path).read_bytes()
+    found = SparkSession.getActiveSession().read.format("binaryFile").load(path).select("content").first()
+    return bytes(found[0]) if found else b""
+
+
 def write_report_csv(df: DataFrame, path: str, sep: str = ",", columns: list[str] | None = None) -> None:
     """A small result as one file, its header first; rows come to the driver a partition at a time."""
     columns = columns or df.columns
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    with open(path, "w", newline="", encoding="utf-8") as f:
-        out = csv.writer(f, delimiter=sep, lineterminator="\n")
-        out.writerow(columns)
-        out.writerows(tuple(r) for r in df.select(*columns).toLocalIterator())
+    text = io.StringIO()
+    out = csv.writer(text, delimiter=sep, lineterminator="\n")
+    out.writerow(columns)
+    out.writerows(tuple(r) for r in df.select(*columns).toLocalIterator())
+    write_text(text.getvalue(), path)
 
 
 def write_dicts_csv(records: list[dict], path: str) -> None:
     """Records as one file with the first one's keys as header; no records give an empty file."""
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    with open(path, "w", newline="", encoding="utf-8") as f:
-        if records:
-            out = csv.DictWriter(f, fieldnames=list(records[0]), lineterminator="\n")
-            out.writeheader()
-            out.writerows(records)
+    text = io.StringIO()
+    if records:
+        out = csv.DictWriter(text, fieldnames=list(records[0]), lineterminator="\n")
+        out.writeheader()
+        out.writerows(records)
+    write_text(text.getvalue(), path)
 
 
 def write_id_list(ids: DataFrame, path: str, column: str = "s1_id") -> None:
@@ -52,8 +77,7 @@ def write_match_lists(lists: DataFrame, path: str) -> None:
 
 
 def write_json(data: object, path: str) -> None:
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text(json.dumps(data, indent=2, default=str, ensure_ascii=False), encoding="utf-8")
+    write_text(json.dumps(data, indent=2, default=str, ensure_ascii=False), path)
 
 
 def markdown_table(columns: list[str], rows: list) -> str:
@@ -77,17 +101,12 @@ def file_facts(spark: SparkSession, glob: str) -> DataFrame:
 
 
 def manifest(paths: list[str]) -> dict[str, dict]:
-    """Size, lines and SHA-256 of report files that the driver wrote."""
+    """Size, lines and SHA-256 of report files."""
     out = {}
-    for p in map(Path, paths):
-        digest, lines, size, end = hashlib.sha256(), 0, 0, b"\n"
-        with p.open("rb") as f:
-            while block := f.read(1 << 16):
-                digest.update(block)
-                lines += block.count(b"\n")
-                size += len(block)
-                end = block[-1:]
-        out[p.name] = {"path": str(p), "size_bytes": size, "line_count": lines + (end != b"\n"), "sha256": digest.hexdigest()}
+    for p in paths:
+        raw = read_bytes(p)
+        lines = raw.count(b"\n") + (raw != b"" and not raw.endswith(b"\n"))
+        out[p.rsplit("/", 1)[-1]] = {"path": p, "size_bytes": len(raw), "line_count": lines, "sha256": hashlib.sha256(raw).hexdigest()}
     return out
 
 
@@ -96,5 +115,4 @@ def write_validation_log(verdict, path: str, command: str = "") -> None:
     lines = [f"status: {verdict.status} ({verdict.exit_code})", f"command: {command}"]
     lines += [f"{name}: {s['n_rows']:,} rows ({s['n_empty']:,} empty, {s['n_non_empty']:,} non-empty)" for name, s in verdict.statistics.items()]
     lines += [f"error: {e}" for e in verdict.errors] + [f"warning: {w}" for w in verdict.warnings]
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text("\n".join(lines) + "\n", encoding="utf-8")
+    write_text("\n".join(lines) + "\n", path)

@@ -22,15 +22,29 @@ def _strings(names: tuple[str, ...]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def read_records(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Records of a source file: four text columns, missing fields empty, blank lines left out, ids stripped, doubled quotes within quotes.
+#: Where a row that isn't of as many fields as the header is kept, to tell a missing field from an empty one.
+_ODD_ROW = "__odd_row"
 
-    ``multi_line=False`` lets a large file be split; it is for files without
-    line breaks within fields.
+
+def _parsed_records(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    """Records with ``country`` as it is: empty where the field is, Unknown where the row ends before it."""
+    schema = _strings((*RECORD_HEADER, _ODD_ROW))
+    # All fields are parsed whatever is asked for, or short rows wouldn't show.
+    rows = spark.read.schema(schema).option("columnPruning", False).csv(path, sep="\t", header=True, quote='"', escape='"', multiLine=multi_line, mode="PERMISSIVE", enforceSchema=True, columnNameOfCorruptRecord=_ODD_ROW)
+    short = F.col("country").isNull() & F.col(_ODD_ROW).isNotNull() & (F.size(F.split(_ODD_ROW, "\t")) < len(RECORD_HEADER))
+    return rows.withColumn("country", or_unknown(F.when(~short, F.coalesce("country", F.lit(""))))).drop(_ODD_ROW)
+
+
+def read_records(spark: SparkSession, path: str, multi_line: bool = False, limit: int | None = None) -> DataFrame:
+    """Records of a source file: four text columns, missing fields empty, a missing country Unknown, blank lines left out, ids stripped, doubled quotes within quotes.
+
+    A large file is split; ``multi_line=True`` is for files with line breaks
+    within fields, which are read whole. With ``limit`` that many records, from
+    as few splits as hold them.
     """
-    rows = spark.read.schema(_strings(RECORD_HEADER)).csv(path, sep="\t", header=True, quote='"', escape='"', multiLine=multi_line, mode="PERMISSIVE", enforceSchema=True)
-    rows = rows.na.fill("")
-    return rows.withColumn("entity_id", strip(F.col("entity_id")))
+    rows = _parsed_records(spark, path, multi_line)
+    rows = rows if limit is None else rows.limit(limit)
+    return rows.na.fill("").withColumn("entity_id", strip(F.col("entity_id")))
 
 
 def ingest_records(records: DataFrame, path: str) -> None:
@@ -51,10 +65,9 @@ def read_lists(spark: SparkSession, path: str, header: tuple[str, ...] = TRUTH_H
     return last_row_wins(rows.withColumn("ord", F.monotonically_increasing_id()), header[0]).drop("ord")
 
 
-def read_countries(spark: SparkSession, path: str) -> DataFrame:
-    """``s1_id, country`` of a record file; only these columns are parsed."""
-    rows = spark.read.schema(_strings(RECORD_HEADER)).csv(path, sep="\t", header=True, quote='"', escape='"')
-    return rows.select(F.col("entity_id").alias("s1_id"), or_unknown(F.col("country")).alias("country"))
+def read_countries(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """``s1_id, country`` of a record file; an empty country stays empty, a missing one is Unknown."""
+    return _parsed_records(spark, path, multi_line).select(F.col("entity_id").alias("s1_id"), "country")
 
 
 def read_ids(spark: SparkSession, *paths: str) -> DataFrame:
@@ -74,14 +87,13 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """``line, value`` of a text file, from 1. Only counts of partitions pass over the driver: a first pass counts them, a second adds where each starts."""
     lines = spark.read.text(path).select(F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at"), "value")
     sizes = dict(lines.groupBy("part").count().collect())
-    start, at = {}, 0
+    start, at = [], 0
     for part in sorted(sizes):
-        start[part], at = at, at + sizes[part]
-    if not start:
-        return lines.select(F.lit(0).cast("long").alias("line"), "value").limit(0)
-    first = F.create_map(*[x for k, v in start.items() for x in (F.lit(k), F.lit(v))])
+        start.append((part, at))
+        at += sizes[part]
+    first = spark.createDataFrame(start, "part int, first long")
     within = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
-    return lines.select((F.element_at(first, F.col("part")) + within + 1).cast("long").alias("line"), "value")
+    return lines.join(first, "part").select((F.col("first") + within + 1).alias("line"), "value")
 
 
 @dataclass
@@ -91,6 +103,8 @@ class Catalog:
     spark: SparkSession
     paths: dict[str, str]
     headers: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    #: Whether record files have line breaks within fields.
+    multi_line: bool = False
 
     def exists(self, name: str) -> bool:
         jvm = self.spark.sparkContext._jvm
@@ -107,8 +121,8 @@ class Catalog:
             rows += [(f"{name}_exists", there), (f"{name}_header_valid", bool(head) and [c.strip() for c in head[0][0].split("\t")] == list(want))]
         return self.spark.createDataFrame(rows, "check string, passed boolean")
 
-    def records(self, name: str) -> DataFrame:
-        return read_records(self.spark, self.paths[name])
+    def records(self, name: str, limit: int | None = None) -> DataFrame:
+        return read_records(self.spark, self.paths[name], self.multi_line, limit)
 
     def truth(self, name: str = "train_GT") -> DataFrame:
         return read_lists(self.spark, self.paths[name])

@@ -30,11 +30,32 @@ def running_country_counts(edges: DataFrame, s1: DataFrame, targets: DataFrame)
     return rows.groupBy("s1_country", "target_source").agg(F.count(F.lit(1)).alias("total_edges"), F.count_if(F.col("s1_country") == F.col("target_country")).alias("same_country_edges"))
 
 
+def _states(spark: SparkSession, path: str) -> list:
+    """Folders of whole states, in order."""
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/*/_SUCCESS")
+    found = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(top)
+    return sorted((f.getPath().getParent() for f in found or []), key=lambda p: p.getName())
+
+
+def latest(spark: SparkSession, path: str) -> DataFrame:
+    """The last whole state that ``start`` wrote; raises ValueError where there is none."""
+    states = _states(spark, path)
+    if not states:
+        raise ValueError(f"{path} has no state")
+    return spark.read.parquet(states[-1].toString())
+
+
 def start(df: DataFrame, path: str, checkpoint: str, mode: str = "complete", once: bool = True) -> StreamingQuery:
-    """Writes each state of a running table under ``path``; with ``once``, for what is there now."""
+    """Writes each state of a running table in a folder of its own under ``path``; with ``once``, for what is there now.
+
+    A state is whole once its folder has Spark's mark of success; only then do
+    those before it go, so a crash loses none. ``latest`` reads the last.
+    """
 
-    def save(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    def save(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/{number:020d}")
+        for older in _states(batch.sparkSession, path)[:-1]:
+            older.getFileSystem(batch.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(older, True)
 
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(save)
     return (writer.trigger(availableNow=True) if once else writer).start()

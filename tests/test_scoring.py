@@ -76,3 +76,34 @@ def test_threshold_sweep(spark):
     rows = spark.createDataFrame([(0.95, True), (0.5, False), (0.505, True), (1.0, True)], "score double, is_match boolean")
     got = {round(r.threshold, 2): (r.tp, r.fp, round(r.f0_5, 6)) for r in scoring.threshold_sweep(rows, 4).collect()}
     assert got == {0.99: (1, 0, 0.625), 0.95: (2, 0, round(2.5 / 3, 6)), 0.5: (3, 1, 0.75)}
+
+
+def test_macro_threshold_sweep_and_classifier(spark):
+    import random
+
+    from ledgerline.operators import classifier, scoring
+
+    rng = random.Random(2)
+    entities = [f"S1-{k}" for k in range(40)]
+    truth = {(e, f"S2-{k}-{j}") for k, e in enumerate(entities) for j in range(k % 3)}
+    pairs = [(e, f"S2-{k}-{j}", rng.random()) for k, e in enumerate(entities) for j in range(5) if rng.random() < 0.7]
+    scored = spark.createDataFrame(pairs, "s1_id string, target_id string, score double")
+    ents, true = spark.createDataFrame([(e,) for e in entities], "s1_id string"), spark.createDataFrame(sorted(truth), "s1_id string, target_id string")
+    got = {round(r.threshold, 6): r.macro_f0_5 for r in scoring.macro_threshold_sweep(ents, true, scored, 10).collect()}
+
+    def plain(threshold):
+        total = 0
+        for e in entities:
+            t, p = {b for a, b in truth if a == e}, {b for a, b, s in pairs if a == e and min(int(s * 10), 9) >= threshold}
+            total += 1.0 if not t and not p else 0.0 if not t or not p else 1.25 * len(t & p) / (0.25 * len(t) + len(p))
+        return total / len(entities)
+
+    assert got == {k / 10: pytest.approx(plain(k)) for k in range(11)}
+    assert scoring.macro_threshold_sweep(ents.limit(0), true, scored.limit(0), 10).filter("macro_f0_5 <> 0").count() == 0
+
+    features = spark.createDataFrame([(a, b, 0.5 + 0.5 * rng.random() if (a, b) in truth else 0.6 * rng.random(), 1 - s if (a, b) in truth else s) for a, b, s in pairs], "s1_id string, target_id string, jaccard double, edit_distance double")
+    model = classifier.tuned(classifier.fit_pairs(features, true), features, ents, true, 20)
+    f = scoring.score_summary(scoring.per_entity_scores(ents, true, model.matches(features))).first().macro_f0_5
+    assert f == pytest.approx(max(r.macro_f0_5 for r in scoring.macro_threshold_sweep(ents, true, model.scored(features), 20).collect())) and f > 0.75
+    with pytest.raises(ValueError):
+        classifier.fit_pairs(features.limit(0), true)

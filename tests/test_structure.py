@@ -66,6 +66,52 @@ def test_countries(spark):
     assert audits.country_verdict(resolved.limit(0)).first().architectural_status == audits.UNRESOLVED
 
 
+def test_empty_padded_and_missing_countries(spark):
+    s1 = records(spark, [("S1-1", " US"), ("S1-2", ""), ("S1-3", None)])
+    targets = records(spark, [("S2-1", "US  "), ("S2-2", "  "), ("S2-3", "Unknown"), ("S3-4", "US")])
+    e = edge_table(spark, [("S1-1", "S2-1"), ("S1-2", "S2-2"), ("S1-3", "S2-3"), ("S1-2", "S3-4"), ("S1-9", "S3-4"), ("S1-9", "S2-1"), ("S1-1", "S2-77"), ("S1-1", "X-1")])
+    resolved = audits.country_edges(e, s1, targets)
+    # A target's last parent that has a record counts; blanks at the ends don't.
+    assert {(r.s1_id, r.target_id, r.s1_country, r.target_country, r.same) for r in resolved.collect()} == {
+        ("S1-1", "S2-1", "US", "US", True), ("S1-2", "S2-2", "", "", True), ("S1-3", "S2-3", "Unknown", "Unknown", True), ("S1-2", "S3-4", "", "US", False),
+    }
+    entities = spark.createDataFrame([("S1-1",), ("S1-2",), ("S1-3",), ("S1-9",), ("S1-8",)], "s1_id string")
+    assert audits.country_missing(entities, e, s1, targets).first().asDict() == {"missing_s1_rows": 2, "total_s2_edges": 4, "total_s3_edges": 1, "missing_s2_targets": 1, "missing_s3_targets": 0, "s1_entities_resolved": 3}
+
+
+def test_country_fields_of_files(spark, tmp_path):
+    """Empty, cut off before the country, there, padded, and with a field too many."""
+    path = tmp_path / "s1.tsv"
+    path.write_text("entity_id\tbusiness_name\tbusiness_address\tcountry\nS1-1\tn\ta\t\nS1-2\tn\ta\nS1-3\tn\ta\tIN\n\nS1-4\tn\t\"a \"\"q\"\"\"\t IN \nS1-5\tn\ta\t\tmore\nS1-6\n")
+    want = {"S1-1": "", "S1-2": "Unknown", "S1-3": "IN", "S1-4": " IN ", "S1-5": "", "S1-6": "Unknown"}
+    for multi_line in (False, True):
+        assert {r.s1_id: r.country for r in tsv.read_countries(spark, str(path), multi_line).collect()} == want
+        rows = {r.entity_id: r for r in tsv.read_records(spark, str(path), multi_line).collect()}
+        assert {i: r.country for i, r in rows.items()} == want and rows["S1-4"].business_address == 'a "q"' and rows["S1-6"].business_address == ""
+    assert tsv.read_records(spark, str(path), limit=2).count() == 2
+    path.write_text('entity_id\tbusiness_name\tbusiness_address\tcountry\nS1-1\t"two\nlines"\ta\tUS\n')
+    assert [tuple(r) for r in tsv.read_records(spark, str(path), multi_line=True).collect()] == [("S1-1", "two\nlines", "a", "US")]
+
+
+def test_naive_edge_count(spark):
+    df = spark.createDataFrame([("a,b,,",), ("",), (None,), ("  ",), ("x",)], "matched_entity_ids string")
+    assert edges.naive_edge_count(df).first().edges == 5
+
+
+def test_blocking_lanes_and_crowded_blocks(spark):
+    schema = "entity_id string, business_name string, business_address string, country string"
+    left = spark.createDataFrame([("S1-1", "Green Garden Cafe", "12 Main St 560001", "IN"), ("S1-2", "Green Garden Cafe", "9 Side Rd 560002 NULL", "IN"), ("S1-3", "", "", "IN")], schema)
+    right = spark.createDataFrame([("S2-1", "Greengarden Kafe", "Main St, 560001", "IN"), ("S2-2", "Other", "560002", "IN"), ("S2-3", "Green Garden Cafe", "null", "IN"), ("S2-4", "Green Garden Cafe", "Side", "IN"), ("S2-5", "Green Garden Cafe", "Main", "FR")], schema)
+    found = lambda **more: {tuple(r) for r in matching.blocking_pairs(left, right, **more).collect()}
+    assert found(lanes=("postcode",)) == {("S1-1", "S2-1", "postcode"), ("S1-2", "S2-2", "postcode")}
+    assert ("S1-1", "S2-1", "grams") in found(lanes=("grams", "name")) and ("S1-1", "S2-3", "grams,name") in found(lanes=("grams", "name"))
+    assert found(lanes=("name",)) == {(a, b, "name") for a in ("S1-1", "S1-2") for b in ("S2-3", "S2-4")}
+    assert [tuple(r) for r in matching.block_sizes(left, right, ("name",)).collect()] == [("IN", "name", "green garden cafe", 2, 2, 4)]
+    assert found(lanes=("name",), most_pairs=4) == found(lanes=("name",))
+    # Beyond: a word of the addresses must be shared, and NULL is none.
+    assert found(lanes=("name",), most_pairs=3) == {("S1-2", "S2-4", "name")}
+
+
 def test_exclusivity(spark):
     clear = edge_table(spark, [("S1-1", "S2-1"), ("S1-1", "S2-2"), ("S1-2", "S3-1"), ("S1-2", "S3-2"), ("S1-2", "S3-3")])
     stats = audits.exclusivity_stats(clear)
@@ -129,7 +175,11 @@ def test_audits_end_to_end(spark, folder):
     report = audit_runs.structure_audit(c, out, expected)
     assert report.status == "PASS WITH FINDINGS" and report.country_verdict["architectural_status"] == audits.SAFE and report.assignment_verdict["architectural_status"] == audits.PLAUSIBLE
     assert "OVERALL,ALL,ALL,4,4,0,100.0,0.0" in (folder / "out/cross_country_summary.csv").read_text().splitlines()
-    assert len(report.artifacts) == 7 and len(json.loads((folder / "out/structure_manifest.json").read_text())["artifacts"]) == 7
+    assert report.missing == {"missing_s1_rows": 0, "total_s2_edges": 2, "total_s3_edges": 2, "missing_s2_targets": 0, "missing_s3_targets": 0, "s1_entities_resolved": 2}
+    assert len(report.artifacts) == 8 and len(json.loads((folder / "out/structure_manifest.json").read_text())["artifacts"]) == 8
+    assert audit_runs.data_root(folder / "train") == str(folder) and audit_runs.data_root(folder, "dataset") == str(folder)
+    (folder / "near/dataset/train").mkdir(parents=True)
+    assert audit_runs.data_root(folder / "near") == str(folder / "near/dataset")
     assert audit_runs.structure_audit(c, out, expected | {"total_gt_s1": 3}).status == "FAIL"
 
 
@@ -141,6 +191,8 @@ def test_sinks(spark, tmp_path):
     assert (tmp_path / "e.csv").read_text() == ""
     sinks.write_report_csv(df.limit(0), str(tmp_path / "h.csv"))
     assert (tmp_path / "h.csv").read_text() == "s1_id,n\n"
+    sinks.write_dicts_csv([{"a": 1, "b": "x"}], f"file://{tmp_path}/far/d.csv")
+    assert sinks.read_bytes(f"file://{tmp_path}/far/d.csv") == b"a,b\n1,x\n" and sinks.manifest([f"file://{tmp_path}/far/d.csv"])["d.csv"]["line_count"] == 2
     assert sinks.markdown_table(["a"], []) == "*Empty table*"
     assert sinks.frame_markdown(df.orderBy("n")).splitlines()[2] == "| b | 1 |"
     facts = sinks.file_facts(spark, str(tmp_path / "h.csv")).first()

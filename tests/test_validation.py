@@ -44,3 +44,14 @@ def test_every_rule(spark, files):
         assert part in joined, part
     assert any("2 S1 entity(ies)" in w for w in v.warnings)
     assert v.exit_code == 1
+
+
+def test_many_malformed_rows_and_unreadable_files(spark, files, monkeypatch):
+    from ledgerline.operators import validation
+
+    monkeypatch.setattr(validation, "MALFORMED_SHOWN", 2)
+    write, s1, _ = files
+    v = validate_results(spark, write("m.tsv", "source1_entity_id\tmatched_entity_ids\nS1-1\t\nS1-2\t\nx\ny\nz\n"), s1)
+    assert v.errors[:3] == ["m.tsv: malformed row (no tab) at line 4", "m.tsv: malformed row (no tab) at line 5", "m.tsv: 1 more malformed row(s) (no tab)"]
+    broken = validate_results(spark, "nosuchstore://x/m.tsv", s1)
+    assert broken.exit_code == 1 and broken.errors[0].startswith("Could not read a file")
