@@ -58,16 +58,16 @@ def split_summary(folds: DataFrame, strata: tuple[str, ...] = ("country", "bucke
     return rows.withColumnRenamed("bucket", "multiplicity_bucket")
 
 
-def _targets(folds: DataFrame, edges: DataFrame) -> DataFrame:
+def target_parents(folds: DataFrame, edges: DataFrame) -> DataFrame:
     """``target_id, source, train, val``: a target's parents in each fold."""
     distinct = edges.select("s1_id", "target_id").distinct().join(folds.select("s1_id", "fold"), "s1_id")
     parents = distinct.groupBy("target_id").agg(F.count_if(F.col("fold") == "train").alias("train"), F.count_if(F.col("fold") == "val").alias("val"))
     return parents.withColumn("source", source_tag(F.col("target_id"))).filter(F.col("source") != "OTHER")
 
 
-def target_overlap(folds: DataFrame, edges: DataFrame) -> DataFrame:
-    """``category, unique_targets, multi_s1_occurrences, train_val_shared_count`` for each source and fold."""
-    t = _targets(folds, edges)
+def target_overlap(folds: DataFrame, edges: DataFrame, parents: DataFrame | None = None) -> DataFrame:
+    """``category, unique_targets, multi_s1_occurrences, train_val_shared_count`` for each source and fold; ``parents`` are ``target_parents`` where they are there already."""
+    t = target_parents(folds, edges) if parents is None else parents
     shared = F.count_if((F.col("train") > 0) & (F.col("val") > 0))
     wide = t.groupBy("source").agg(
         *[F.count_if(F.col(f) > 0).alias(f"u_{f}") for f in ("train", "val")], *[F.count_if(F.col(f) > 1).alias(f"m_{f}") for f in ("train", "val")], shared.alias("shared")
@@ -79,9 +79,9 @@ def target_overlap(folds: DataFrame, edges: DataFrame) -> DataFrame:
     return wide.select(F.explode(F.array(one("train", "Train"), one("val", "Val"))).alias("r")).select("r.*")
 
 
-def leakage_summary(folds: DataFrame, edges: DataFrame) -> DataFrame:
+def leakage_summary(folds: DataFrame, edges: DataFrame, parents: DataFrame | None = None) -> DataFrame:
     """One row: fold sizes, targets in each fold, shared and multi-parent targets by source, and a warning where any is shared, else null."""
-    t = _targets(folds, edges)
+    t = target_parents(folds, edges) if parents is None else parents
     is_source = lambda s: F.col("source") == s.upper()
     columns = [F.count_if(is_source(s) & (F.col(f) > 0)).alias(f"{f}_{s}_target_count") for f in ("train", "val") for s in ("s2", "s3")]
     columns += [F.count_if(is_source(s) & (F.col("train") > 0) & (F.col("val") > 0)).alias(f"shared_{s}_target_count") for s in ("s2", "s3")]

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators import audits, edges, recall, scoring, split
 from ledgerline.operators.validation import validate_results
 from ledgerline.sources import sinks
-from ledgerline.sources.tsv import Catalog, telemetry
+from ledgerline.sources.tsv import Catalog, read_lists, telemetry
 
 
 def _truth_tables(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -27,10 +27,34 @@ def _truth_tables(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
     return lists.select(F.col("source1_entity_id").alias("s1_id")), rows
 
 
+def _stored(df: DataFrame, output_dir: str, name: str) -> DataFrame:
+    """The table as Parquet under the output's ``tables`` folder: parsed and computed once, whatever is made of it, and there when executors are lost."""
+    path = f"{output_dir}/tables/{name}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _stored_inputs(catalog: Catalog, output_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Entities, true edges, and the ids and countries of S1 and of both target sources."""
+    lists = _stored(catalog.truth(), output_dir, "truth")
+    entities, truth = _truth_tables(lists)
+    keys = lambda name: catalog.records(name).select("entity_id", "country")
+    s1 = _stored(keys("train_S1"), output_dir, "s1")
+    targets = _stored(keys("train_S2").unionByName(keys("train_S3")), output_dir, "targets")
+    return entities, _stored(truth, output_dir, "edges"), s1, targets
+
+
 def _rows(df: DataFrame) -> list[dict]:
     return [r.asDict(recursive=True) for r in df.collect()]
 
 
+def _written(df: DataFrame, path: str, sep: str = ",") -> list[dict]:
+    """A small result, computed once: its rows, which are also written as one file."""
+    rows = df.collect()
+    sinks.write_rows_csv(df.columns, rows, path, sep)
+    return [r.asDict(recursive=True) for r in rows]
+
+
 def _report(path: str, title: str, sections: dict[str, list[dict] | dict | str]) -> None:
     parts = [f"# {title}"]
     for head, body in sections.items():
@@ -54,7 +78,8 @@ def preprocessing_audit(catalog: Catalog, output_dir: str, max_examples: int = 5
     fields = audits.placeholder_field_summary(records, ("dataset", "source", "file_name")).orderBy("dataset", "source")
     tokens = audits.placeholder_token_summary(records).orderBy("dataset", "source", "token")
     _, truth = _truth_tables(catalog.truth())
-    agreed = audits.agreement_edges(truth, catalog.records("train_S1"), catalog.records("train_S3")).cache()
+    truth = _stored(truth, output_dir, "edges")
+    agreed = _stored(audits.agreement_edges(truth, catalog.records("train_S1"), catalog.records("train_S3")), output_dir, "agreement")
     audits.reconcile(agreed, truth, strict=True)
     tables = {
         "placeholder_summary.csv": fields,
@@ -65,14 +90,10 @@ def preprocessing_audit(catalog: Catalog, output_dir: str, max_examples: int = 5
     }
     out: dict[str, object] = {"checks": checks}
     for name, df in tables.items():
-        sinks.write_report_csv(df, f"{output_dir}/{name}")
-        out[name.removesuffix(".csv")] = _rows(df)
-    examples = audits.exact_examples(agreed, max_examples)
-    sinks.write_report_csv(examples, f"{output_dir}/s3_both_exact_examples.tsv", sep="\t")
-    out["examples_returned"] = examples.count()
+        out[name.removesuffix(".csv")] = _written(df, f"{output_dir}/{name}")
+    out["examples_returned"] = len(_written(audits.exact_examples(agreed, max_examples), f"{output_dir}/s3_both_exact_examples.tsv", "\t"))
     sinks.write_json(out, f"{output_dir}/preprocessing_report.json")
     _report(f"{output_dir}/preprocessing_report.md", "Preprocessing audit", {k.replace("_", " ").capitalize(): v for k, v in out.items() if isinstance(v, (list, dict))})
-    agreed.unpersist()
     return out
 
 
@@ -90,11 +111,12 @@ def _write_scores(scores: DataFrame) -> None:
         sinks.write_report_csv(scores, f"{folder}/scores.csv")
 
 
-def benchmark(entities: DataFrame, truth: DataFrame, seed: int = 42, fraction: float = 0.01, catalog: Catalog | None = None) -> list[dict[str, object]]:
+def benchmark(entities: DataFrame, truth: DataFrame, seed: int = 42, fraction: float = 0.01, catalog: Catalog | None = None, folder: str | None = None) -> list[dict[str, object]]:
     """Times the split, explosion, scoring, recall and the writing of scores over a stratified sample. Its predictions are all but one true target, and one false one.
 
-    With a catalog, the reading of as many records of S1 is timed too, and that of
-    the truth and the validator with the truth as results over the whole files.
+    With a catalog, the reading of as many records of S1 is timed too, and with a
+    ``folder``, which executors can read, the parsing of the sample's truth and
+    the validator from files there.
     """
     sample = split.stratified_sample(entities, fraction, seed).cache()
     own = truth.join(sample.select("s1_id"), "s1_id", "left_semi").select("s1_id", "target_id").cache()
@@ -105,21 +127,23 @@ def benchmark(entities: DataFrame, truth: DataFrame, seed: int = 42, fraction: f
     predictions.count()
     run = lambda df: (lambda: df.write.format("noop").mode("overwrite").save())
     scores = scoring.per_entity_scores(sample.select("s1_id"), own, predictions)
-    stages = {
+    stages = {}
+    if catalog is not None:
+        # As many records as the sample has, like the stages after it.
+        stages["tsv_reading"] = lambda: run(catalog.records("train_S1", n))()
+    if folder is not None:
+        sinks.write_report_csv(edges.implode_lists(sample, own), f"{folder}/sample_truth.tsv", sep="\t")
+        sinks.write_report_csv(sample.select(F.col("s1_id").alias("entity_id"), F.lit("").alias("business_name")), f"{folder}/sample_source1.tsv", sep="\t")
+        stages["gt_parsing"] = lambda: run(edges.explode_lists(read_lists(entities.sparkSession, f"{folder}/sample_truth.tsv")))()
+        stages["validator"] = lambda: validate_results(entities.sparkSession, f"{folder}/sample_truth.tsv", f"{folder}/sample_source1.tsv")
+    stages |= {
         "stratified_split": run(split.stratified_split(sample, seed=seed)),
         "gt_expansion": run(edges.explode_lists(edges.implode_lists(sample, own))),
         "macro_f05_scoring": run(scoring.score_summary(scores)),
         "blocking_recall": run(recall.edge_recall(own, predictions)),
         "serialisation": lambda: _write_scores(scores),
     }
-    out = []
-    if catalog is not None:
-        n_all, m_all = entities.count(), truth.count()
-        # As many records as the sample has, like the stages after it.
-        out.append(timed("tsv_reading", n, 0, lambda: run(catalog.records("train_S1", n))(), fraction))
-        out.append(timed("gt_parsing", n_all, m_all, lambda: run(edges.explode_lists(catalog.truth()))()))
-        out.append(timed("validator", n_all, m_all, lambda: validate_results(catalog.spark, catalog.paths["train_GT"], catalog.paths["train_S1"])))
-    out += [timed(k, n, m, f, fraction) for k, f in stages.items()]
+    out = [timed(k, n, 0 if k == "tsv_reading" else m, f, fraction) for k, f in stages.items()]
     for df in (predictions, own, sample):
         df.unpersist()
     return out
@@ -129,36 +153,32 @@ def validation_foundation(catalog: Catalog, output_dir: str, seed: int = 42, val
     """Integrity of the truth, the stratified split with its id lists, leakage between folds, and a timing of the stages. Raises ValueError where integrity fails."""
     began = time.perf_counter()
     spark = catalog.spark
-    entities, truth = _truth_tables(catalog.truth())
-    ids = lambda name: catalog.records(name).select(F.col("entity_id").alias("id"))
-    sound = edges.integrity(entities, truth, ids("train_S1"), ids("train_S2"), ids("train_S3")).first().asDict()
+    entities, truth, s1, targets = _stored_inputs(catalog, output_dir)
+    ids = lambda df, source: df.filter(F.col("entity_id").startswith(f"{source}-")).select(F.col("entity_id").alias("id"))
+    sound = edges.integrity(entities, truth, s1.select(F.col("entity_id").alias("id")), ids(targets, "S2"), ids(targets, "S3")).first().asDict()
     if not sound["integrity_passed"]:
         raise ValueError(f"integrity failed: {sound}")
-    countries = catalog.records("train_S1").select(F.col("entity_id").alias("s1_id"), "country")
-    bucketed = edges.multiplicity(entities.join(countries, "s1_id"), truth).cache()
-    folds = split.stratified_split(bucketed, val_fraction, seed).cache()
-    summary = split.split_summary(folds).orderBy("country", "multiplicity_bucket")
-    sinks.write_report_csv(summary, f"{output_dir}/split_summary.csv")
+    countries = s1.select(F.col("entity_id").alias("s1_id"), "country")
+    bucketed = _stored(edges.multiplicity(entities.join(countries, "s1_id"), truth), output_dir, "entities")
+    folds = _stored(split.stratified_split(bucketed, val_fraction, seed), output_dir, "folds")
+    strata = _written(split.split_summary(folds).orderBy("country", "multiplicity_bucket"), f"{output_dir}/split_summary.csv")
     for fold in ("train", "val"):
         sinks.write_id_list(folds.filter(F.col("fold") == fold), f"{output_dir}/{fold}_s1_ids")
-    overlap = split.target_overlap(folds, truth)
-    sinks.write_report_csv(overlap, f"{output_dir}/target_overlap_report.csv")
-    strata = _rows(summary)
+    parents = _stored(split.target_parents(folds, truth), output_dir, "target_parents")
+    overlap = _written(split.target_overlap(folds, truth, parents), f"{output_dir}/target_overlap_report.csv")
     total, val = sum(r["total_s1"] for r in strata), sum(r["val_s1"] for r in strata)
     counts = lambda *by: {"/".join(map(str, r[:-1])): r[-1] for r in bucketed.groupBy(*by).count().orderBy(*by).collect()}
     manifest = {
         "seed": seed, "val_fraction": val_fraction, "total_s1_entities": total, "train_s1_entities": total - val, "val_s1_entities": val, "actual_val_percentage": 100.0 * val / total if total else 0.0,
         "stratification_fields": ["country", "multiplicity_bucket"], "counts_by_country": counts("country"), "counts_by_multiplicity_bucket": counts("bucket"), "counts_by_stratum": counts("country", "bucket"),
     }
-    leak = split.leakage_summary(folds, truth).first().asDict()
-    stages = benchmark(bucketed, truth, seed, catalog=catalog)
+    leak = split.leakage_summary(folds, truth, parents).first().asDict()
+    stages = benchmark(bucketed, truth, seed, catalog=catalog, folder=f"{output_dir}/benchmark")
     sinks.write_dicts_csv(stages, f"{output_dir}/benchmark.csv")
-    out = {"telemetry": telemetry(spark), "integrity": sound, "split": manifest, "strata": strata, "leakage": leak, "overlap": _rows(overlap), "benchmark": stages, "duration_sec": time.perf_counter() - began}
+    out = {"telemetry": telemetry(spark), "integrity": sound, "split": manifest, "strata": strata, "leakage": leak, "overlap": overlap, "benchmark": stages, "duration_sec": time.perf_counter() - began}
     sinks.write_json(manifest, f"{output_dir}/split_manifest.json")
     sinks.write_json(out, f"{output_dir}/foundation_manifest.json")
     _report(f"{output_dir}/foundation_report.md", "Validation foundation", {k.capitalize(): out[k] for k in ("telemetry", "integrity", "strata", "leakage", "overlap", "benchmark")})
-    folds.unpersist()
-    bucketed.unpersist()
     return out
 
 
@@ -183,12 +203,11 @@ class StructureReport:
 def structure_audit(catalog: Catalog, output_dir: str, expected: dict[str, int], max_examples: int = 100) -> StructureReport:
     """Countries and exclusivity of all true edges, their reconciliation with the ``expected`` counts, verdicts, and a manifest of the written files."""
     began = time.perf_counter()
-    entities, truth = _truth_tables(catalog.truth())
-    s1 = catalog.records("train_S1")
-    targets = catalog.records("train_S2").unionByName(catalog.records("train_S3"))
-    resolved = audits.country_edges(truth, s1, targets).cache()
+    entities, truth, s1, targets = _stored_inputs(catalog, output_dir)
+    resolved = _stored(audits.country_edges(truth, s1, targets), output_dir, "resolved")
     order = F.when(F.col("slice_type") == "OVERALL", 0).when(F.col("slice_type") == "BY_TARGET_SOURCE", 1).when(F.col("slice_type") == "BY_S1_COUNTRY", 2).otherwise(3)
-    stats = audits.exclusivity_stats(truth).orderBy(F.when(F.col("target_source") == "OVERALL", 1).otherwise(0), "target_source").cache()
+    stats = audits.exclusivity_stats(truth).orderBy(F.when(F.col("target_source") == "OVERALL", 1).otherwise(0), "target_source")
+    stats = _stored(stats.coalesce(1), output_dir, "exclusivity")
     tables = {
         "cross_country_summary.csv": audits.cross_country_slices(resolved).orderBy(order, "s1_country", "target_source"),
         "cross_country_missing.csv": audits.country_missing(entities, truth, s1, targets),
@@ -197,20 +216,17 @@ def structure_audit(catalog: Catalog, output_dir: str, expected: dict[str, int],
         "target_indegree_distribution.csv": audits.indegree_distribution(truth).orderBy(F.when(F.col("target_source") == "OVERALL", 1).otherwise(0), "target_source", "in_degree"),
         "target_overlap_examples.tsv": audits.multi_parent_examples(truth, s1, max_examples).orderBy("target_source", "target_entity_id"),
     }
-    for name, df in tables.items():
-        sinks.write_report_csv(df, f"{output_dir}/{name}", sep="\t" if name.endswith(".tsv") else ",")
+    rows = {name: _written(df, f"{output_dir}/{name}", "\t" if name.endswith(".tsv") else ",") for name, df in tables.items()}
     row = audits.reconciliation(entities, truth, s1, targets, expected).first().asDict()
     out = {
-        "missing": _rows(tables["cross_country_missing.csv"])[0], "reconciliation": row, "cross_country": _rows(tables["cross_country_summary.csv"]), "country_verdict": audits.country_verdict(resolved).first().asDict(),
-        "exclusivity": _rows(stats), "assignment_verdict": audits.assignment_verdict(stats).first().asDict(), "status": row["status"],
+        "missing": rows["cross_country_missing.csv"][0], "reconciliation": row, "cross_country": rows["cross_country_summary.csv"], "country_verdict": audits.country_verdict(resolved).first().asDict(),
+        "exclusivity": rows["target_exclusivity_summary.csv"], "assignment_verdict": audits.assignment_verdict(stats).first().asDict(), "status": row["status"],
     }
     sinks.write_json(out, f"{output_dir}/structure_report.json")
     _report(f"{output_dir}/structure_report.md", "Structural audit", {k.replace("_", " ").capitalize(): v for k, v in out.items()})
     artifacts = sinks.manifest([f"{output_dir}/{n}" for n in [*tables, "structure_report.json", "structure_report.md"]])
     report = StructureReport(**out, duration_sec=time.perf_counter() - began, artifacts=artifacts)
     sinks.write_json({"telemetry": telemetry(catalog.spark), **report.to_dict()}, f"{output_dir}/structure_manifest.json")
-    resolved.unpersist()
-    stats.unpersist()
     return report
 
 

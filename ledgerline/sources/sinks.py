@@ -11,6 +11,7 @@ import csv
 import hashlib
 import io
 import json
+from collections.abc import Iterable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,10 +50,15 @@ def read_bytes(path: str) -> bytes:
 def write_report_csv(df: DataFrame, path: str, sep: str = ",", columns: list[str] | None = None) -> None:
     """A small result as one file, its header first; rows come to the driver a partition at a time."""
     columns = columns or df.columns
+    write_rows_csv(columns, df.select(*columns).toLocalIterator(), path, sep)
+
+
+def write_rows_csv(columns: list[str], rows: Iterable, path: str, sep: str = ",") -> None:
+    """Rows of a small result as one file, its header first."""
     text = io.StringIO()
     out = csv.writer(text, delimiter=sep, lineterminator="\n")
     out.writerow(columns)
-    out.writerows(tuple(r) for r in df.select(*columns).toLocalIterator())
+    out.writerows(tuple(r) for r in rows)
     write_text(text.getvalue(), path)
 
 

@@ -13,13 +13,13 @@ def test_all_stages_are_timed_and_scores_are_written(spark, tmp_path, monkeypatc
     bucketed = audit_runs.edges.multiplicity(entities.join(countries, "s1_id"), truth)
     written, write = [], sinks.write_report_csv
 
-    def kept(df, path, *more):
-        write(df, path, *more)
+    def kept(df, path, **more):
+        write(df, path, **more)
         with open(path) as f:
             written.append(len(f.readlines()))
 
     monkeypatch.setattr(sinks, "write_report_csv", kept)
-    stages = {r["stage"]: r for r in audit_runs.benchmark(bucketed, truth, fraction=1.0, catalog=catalog)}
+    stages = {r["stage"]: r for r in audit_runs.benchmark(bucketed, truth, fraction=1.0, catalog=catalog, folder=str(tmp_path / "bench"))}
     assert list(stages) == ["tsv_reading", "gt_parsing", "validator", "stratified_split", "gt_expansion", "macro_f05_scoring", "blocking_recall", "serialisation"]
     assert [stages[k]["rows_processed"] for k in ("tsv_reading", "gt_parsing", "validator")] == [6, 6, 6] and stages["gt_parsing"]["edges_processed"] == 10
-    assert written == [stages["serialisation"]["rows_processed"] + 1]
+    assert written == [7, 7, stages["serialisation"]["rows_processed"] + 1]
