@@ -14,7 +14,7 @@ UPPER, LOWER, DIGIT = 1, 2, 4
 CHARACTERS = 1 << 20
 #: Beyond this code point no character is a letter, a number or white space.
 LAST_ASSIGNED = 0x40000
-_BASE = 0x9E3779B97F4A7C15
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -48,17 +48,35 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-@lru_cache(1)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+@lru_cache(4)
+def _powers(n: int, which: int) -> tuple[np.ndarray, np.ndarray]:
     """The first powers of an odd number and of its inverse, modulo 2 ** 64."""
     both = []
-    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+    for base in (_BASES[which], pow(_BASES[which], -1, 1 << 64)):
         steps = np.full(n, base, np.uint64)
         steps[:1] = 1
         both.append(np.multiply.accumulate(steps))
     return both[0], both[1]
 
 
+def stretches(starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of ascending spans that lie within CHARACTERS, one span at least."""
+    a = 0
+    while a < len(starts):
+        z = max(a + 1, int(np.searchsorted(ends, starts[a] + CHARACTERS, side="right")))
+        yield a, z
+        a = z
+
+
+def hashed_spans(cps: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
+    """A hash of each span of code points, from the differences of running sums over powers of an odd number; there are two such hashes."""
+    up, down = _powers(max(CHARACTERS, 1 << max(0, len(cps) - 1).bit_length()), which)
+    sums = np.zeros(len(cps) + 1, np.uint64)
+    np.cumsum((cps + np.uint32(1)) * up[: len(cps)], out=sums[1:])
+    h = (sums[ends] - sums[starts]) * down[starts]
+    return (h ^ h >> np.uint64(32)) * _MIX
+
+
 @dataclass
 class Tokens:
     """A row for each token, in order: its text's number, whether it is a word, a hash of its lower case, what its characters are, its first and last character and its length."""
@@ -83,20 +101,12 @@ def tokens(texts: list[str | None]) -> Tokens:
     filled = kind[edges[:-1]] != SPACE if len(cps) else np.zeros(1, bool)
     starts, ends = edges[:-1][filled], edges[1:][filled]
     hashed, traits = np.empty(len(starts), np.uint64), np.empty(len(starts), np.uint8)
-    a = 0
-    while a < len(starts):
-        # As many tokens as lie within the next characters, one at least.
-        z = max(a + 1, int(np.searchsorted(ends, starts[a] + CHARACTERS, side="right")))
-        begin, end = int(starts[a]), int(ends[z - 1])
-        own = cps[begin:end]
-        up, down = _powers(max(CHARACTERS, 1 << (len(own) - 1).bit_length()))
-        sums = np.zeros(len(own) + 1, np.uint64)
-        np.cumsum((lower[own] + np.uint32(1)) * up[: len(own)], out=sums[1:])
+    for a, z in stretches(starts, ends):
+        begin = int(starts[a])
+        own = cps[begin : int(ends[z - 1])]
         s, e = starts[a:z] - begin, ends[a:z] - begin
-        h = (sums[e] - sums[s]) * down[s]
-        hashed[a:z] = (h ^ h >> np.uint64(32)) * _MIX
+        hashed[a:z] = hashed_spans(lower[own], s, e)
         traits[a:z] = np.bitwise_or.reduceat(traits_of[own], s)
-        a = z
     return Tokens(np.searchsorted(ends_of, starts, side="right"), kind[starts] == WORD, hashed, traits, cps[starts], cps[ends - 1], ends - starts)
 
 

@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ledgerline.llm import bpe
+from ledgerline.llm import bpe, tokens
 from ledgerline.llm.queries import tokenizer_path
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -40,6 +40,31 @@ def test_unicode(text):
     same(text)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(st.text(st.sampled_from(list("ab'stre  \n!1é日")), max_size=25), st.sampled_from(["", " ", "  ", "\n ", "'s", "x<|endoftext|>y", "a "])), max_size=8), st.sampled_from([1, 9, 1 << 20]))
+def test_texts_together_are_as_alone(texts, characters):
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(tokens, "CHARACTERS", characters)
+        got = OURS.encode_batch(texts)
+    assert got == [THEIRS.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_fragments_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(bpe, "hashed_spans", lambda cps, starts, ends, which=0: (ends - starts if not which else cps[starts]).astype("uint64"))
+    texts = ["the cat sat on a mat", "and one two too"]
+    assert bpe.ForcedBoundaryBpe(PATH).encode_batch(texts) == [THEIRS.encode(t).ids for t in texts]
+
+
+def test_files_that_ask_for_more_are_refused(tmp_path):
+    import json
+
+    spec = json.loads(open(PATH, encoding="utf-8").read())
+    for change in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True}}, {"model": spec["model"] | {"ignore_merges": True}}):
+        (tmp_path / "t.json").write_text(json.dumps(spec | change))
+        with pytest.raises(ValueError, match="doesn't do"):
+            bpe.ForcedBoundaryBpe(str(tmp_path / "t.json"))
+
+
 def test_long_runs_agree_with_short_ones():
     rng = random.Random(1)
     for n in (201, 500):
