@@ -33,7 +33,7 @@ END_OF_TEXT = 0x110000
 #: Unicode's White_Space property.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: Fragments whose ids a worker keeps, twice: those met last, and those before.
-KEPT_FRAGMENTS = 250_000
+KEPT_FRAGMENTS = 150_000
 
 
 def byte_characters() -> dict[str, int]:
@@ -337,4 +337,4 @@ def decode_texts(encoded: DataFrame, path: str) -> DataFrame:
             texts = [bpe.decode(ids.values.to_numpy()) if ids.is_valid else None for ids in batch.column(2)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(texts, pa.string())], schema=schema)
 
-    return encoded.select("doc_id", "n_tokens", "token_ids").mapInArrow(run, DECODED)
+    return small_batches(encoded.select("doc_id", "n_tokens", "token_ids")).mapInArrow(run, DECODED)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import ann, bpe, langid, line_dedup, mixing, mpegts, quality, sharding, simhash, toxicity
+from ledgerline.llm.store import Shared
 from ledgerline.llm.training import id_fold
 
 #: The production tokenizer's file, at one place on every machine.
@@ -80,7 +81,9 @@ def op5_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded again, as digests; a null text is as an empty one."""
     path = tokenizer_path()
-    decoded = bpe.decode_texts(bpe.encode_texts(_documents(spark, sf_dir), path), path)
+    # The ids are written, so a task holds one Python worker, not the encoder's and the decoder's.
+    encoded = Shared(spark).keep(bpe.encode_texts(_documents(spark, sf_dir), path), "encoded")
+    decoded = bpe.decode_texts(encoded, path)
     ids = F.array_join(F.col("token_ids").cast("array<string>"), ",")
     return decoded.select("doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
