@@ -11,7 +11,7 @@ import numpy as np
 SPACE, WORD, MARK = 0, 1, 2
 UPPER, LOWER, DIGIT = 1, 2, 4
 #: Characters that are hashed at a time, and about as many of the texts that are worked on at once.
-CHARACTERS = 1 << 18
+CHARACTERS = 1 << 19
 #: Beyond this code point no character is a letter, a number or white space.
 LAST_ASSIGNED = 0x40000
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
