@@ -82,7 +82,7 @@ def sampled_features(docs: DataFrame, sample: DataFrame, extract: Callable, id_c
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     joined = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text")
     each = small_batches(joined).mapInArrow(run, kind).groupBy("doc_id", "label").agg(F.min("features").alias("features"))
-    return sorted(((r[0], r[1], np.frombuffer(bytes(r[2]), np.int32).astype(np.int64)) for r in each.collect()), key=lambda r: r[:2])
+    return sorted(((r[0], r[1], np.frombuffer(bytes(r[2]), np.int32)) for r in each.collect()), key=lambda r: r[:2])
 
 
 @dataclass
@@ -119,14 +119,14 @@ def dual_coordinate_descent(rows: list[np.ndarray], scale: np.ndarray, labels: n
     """Weights and bias of the least |w|^2 / 2 plus squared hinge losses, one dual variable at a time; a row's values are ``scale`` over the root of its feature count."""
     signs = np.where(labels == 1, 1.0, -1.0)
     roots = np.array([np.sqrt(max(1, len(r))) for r in rows])
-    values = [scale[r] / root for r, root in zip(rows, roots, strict=True)]
     diagonal = 0.5 / cost
-    curvature = np.array([float(v @ v) for v in values]) + 1.0 + diagonal
+    curvature = np.array([float((scale[r] ** 2).sum()) for r in rows]) / roots**2 + 1.0 + diagonal
     alpha, w, bias = np.zeros(len(rows)), np.zeros(len(scale)), 0.0
     order = np.random.default_rng(seed)
     for _ in range(passes):
         for k in order.permutation(len(rows)):
-            r, v, y = rows[k], values[k], signs[k]
+            r, y = rows[k], signs[k]
+            v = scale[r] / roots[k]
             gradient = y * (float(w[r] @ v) + bias) - 1 + diagonal[k] * alpha[k]
             new = max(alpha[k] - gradient / curvature[k], 0.0)
             if step := (new - alpha[k]) * y:
