@@ -144,7 +144,8 @@ def components(docs: DataFrame, shared: Shared, text_col: str = "text", overlap:
     own_lot = F.pmod(F.xxhash64("node", "band"), F.col("lots")).cast("int")
     met = shared.keep(keyed.join(crowd, ["band", "key"]).withColumn("lot", own_lot), "met")
     every = F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("lot")
-    wanted = texts.join(met.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    # Copies of a text are one row a task before they are dealt out; an inner join, as a semi-join would be moved below the grouping.
+    wanted = texts.groupBy("node").agg(F.first("text").alias("text")).join(met.select("node").distinct(), "node")
     sets = shared.keep(_mapped(wanted, SETS, lambda found: [pa.array([s.tobytes() for s in found], pa.binary())]), "sets")
     first = met.filter((F.col("node") == F.col("first")) & (F.col("lots") > 1)).select("band", "key", every, "node")
     rows = met.select("band", "key", "lot", "node").unionByName(first).withColumn("component", F.col("node"))
