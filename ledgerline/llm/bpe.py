@@ -33,7 +33,7 @@ END_OF_TEXT = 0x110000
 #: Unicode's White_Space property.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: Fragments whose ids a worker keeps, twice: those met last, and those before.
-KEPT_FRAGMENTS = 250_000
+KEPT_FRAGMENTS = 150_000
 
 
 def byte_characters() -> dict[str, int]:
@@ -137,8 +137,8 @@ class ForcedBoundaryBpe:
         self._token_sizes = np.array([len(b) for b in by_id], np.int64)
         self._token_begins = np.cumsum(self._token_sizes) - self._token_sizes
         self._token_bytes = np.frombuffer(b"".join(by_id), np.uint8)
-        self._known: dict[tuple[int, int], tuple[int, ...]] = {}
-        self._older: dict[tuple[int, int], tuple[int, ...]] = {}
+        self._known: dict[bytes, tuple[int, ...]] = {}
+        self._older: dict[bytes, tuple[int, ...]] = {}
 
     def cuts(self, cps: np.ndarray) -> np.ndarray:
         """Where fragments start: at pre-tokens, and between characters whose meeting bytes no token joins."""
@@ -161,7 +161,7 @@ class ForcedBoundaryBpe:
                 ranks[k] = rank((ids[k], ids[k + 1]), none)
         return ids
 
-    def _found(self, keys: list[tuple[int, int]], at: list[int], fragment: Callable[[int], str]) -> list[tuple[int, ...]]:
+    def _found(self, keys: list[bytes], at: list[int], fragment: Callable[[int], str]) -> list[tuple[int, ...]]:
         """The ids of fragments, each under two hashes of its own, 128 bits; those that weren't met lately are encoded."""
         found = list(map(self._known.get, keys))
         for k, ids in enumerate(found):
@@ -225,7 +225,7 @@ class ForcedBoundaryBpe:
             raw = own.tobytes()
             fragment = lambda k, s=s, e=e, raw=raw: raw[4 * s[k] : 4 * e[k]].decode("utf-32-le", "surrogatepass")
             if (check[first][which] == check).all() and ((e - s)[first][which] == e - s).all():
-                found = self._found(list(zip(h[first].tolist(), check[first].tolist(), strict=True)), first.tolist(), fragment)
+                found = self._found(np.stack([h[first], check[first]], axis=1).view("S16").ravel().tolist(), first.tolist(), fragment)
             else:
                 # Different fragments of one hash: each is encoded by itself.
                 which = np.arange(z - a)
