@@ -1,11 +1,14 @@
-"""Near-copies by the overlap of word shingles: MinHash bands propose pairs, the whole sets decide.
-
-Two texts whose sets of shingles have a Jaccard overlap of 0.8 share one of
-``BANDS`` bands of ``ROWS`` minima at least with a chance of 0.9998, and with a
-greater one above. Texts that share a band are compared by their whole sets.
-A band that many texts share is cut into lots, each of which meets the band's
-first text; then texts of a lot that aren't yet joined to most of the band meet
-all of its lots, so that no pair of a band is left out.
+"""Near-copies by the overlap of word shingles: SimHash blocks and MinHash bands propose pairs, the whole sets decide.
+
+The fingerprint of a text's set of shingles goes through the pigeonhole blocks
+of ``simhash``: links of few bits, and texts of one fingerprint, are compared.
+Most texts whose sets have a Jaccard overlap of 0.8 differ by more bits than
+blocks can reach; such two share one of ``BANDS`` bands of ``ROWS`` MinHash
+minima at least with a chance of 0.9998, and with a greater one above. Texts that
+share a band are compared by their whole sets. A band that many texts share is
+cut into lots, each of which meets the band's first text; then texts of a lot
+that aren't yet joined to most of the band meet all of its lots, so that no pair
+of a band is left out.
 """
 
 from __future__ import annotations
@@ -20,14 +23,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.llm import simhash
 from ledgerline.llm.components import connected_components
 from ledgerline.llm.store import Shared, small_batches
 
-WIDTH = 5
+WIDTH = simhash.WIDTH
 OVERLAP = 0.8
 BANDS = 16
 ROWS = 4
-SEED = 42
+SEED = simhash.SEED
 #: Texts, and shingles of all of them, that are compared in one piece.
 TOGETHER, SHINGLES = 2048, 4_000_000
 #: Shingles whose minima are taken at a time.
@@ -58,6 +62,14 @@ def bands(own: np.ndarray) -> list[int]:
     return [xxhash.xxh64_intdigest(m.tobytes(), SEED) - (1 << 63) for m in least.reshape(BANDS, ROWS)]
 
 
+def set_fingerprint(own: np.ndarray) -> int:
+    """The SimHash of a set of shingles as a signed long; no shingles give 0."""
+    ones = np.zeros(simhash.BITS, np.int64)
+    for at in range(0, len(own), CHUNK):
+        ones += simhash.bit_counts(own[at : at + CHUNK])
+    return int(np.uint64(simhash.majority(ones, len(own))).view(np.int64))
+
+
 def text_key(text: Column) -> Column:
     """What equal texts share; null is as empty."""
     return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
@@ -72,7 +84,7 @@ def _mapped(texts: DataFrame, schema: T.StructType, columns) -> DataFrame:
     return small_batches(texts).mapInArrow(run, schema)
 
 
-BANDED = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("size", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))])
+BANDED = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("size", T.LongType()), T.StructField("fp", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))])
 SETS = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("own", T.BinaryType())])
 
 
@@ -134,15 +146,31 @@ def _pairs(rows: DataFrame, overlap: float) -> DataFrame:
     return rows.sortWithinPartitions(*keys).mapInPandas(run, "a binary, b binary").distinct()
 
 
+def block_pairs(texts: DataFrame, shared: Shared) -> DataFrame:
+    """``key, node``: two rows for each pair that the blocks propose among ``node, fp``: the first text of a fingerprint with each other one, and the first texts of two linked fingerprints."""
+    first = texts.groupBy("fp").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n"))
+    first = shared.keep(first, "first_of_fingerprint")
+    same = texts.join(first.filter("n > 1"), "fp").filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    end = lambda side: first.select(F.col("fp").alias(side), F.col("first").alias(f"{side}_first"))
+    near = simhash.links(first.select("fp"), shared).join(end("a"), "a").join(end("b"), "b").select(F.col("a_first").alias("a"), F.col("b_first").alias("b"))
+    both = same.unionByName(near).withColumn("key", F.xxhash64("a", "b"))
+    return both.select("key", F.explode(F.array("a", "b")).alias("node"))
+
+
 def components(docs: DataFrame, shared: Shared, text_col: str = "text", overlap: float = OVERLAP) -> DataFrame:
     """``node, component`` for each text that is linked to a different one: ``node`` is its ``text_key``, ``component`` the smallest that is reachable."""
     texts = docs.select(text_key(F.col(text_col)).alias("node"), F.col(text_col).cast("string").alias("text"))
-    banded = _mapped(texts, BANDED, lambda sets: [pa.array([len(s) for s in sets], pa.int64()), pa.array([bands(s) for s in sets], pa.list_(pa.int64()))])
-    keyed = shared.keep(banded.select("node", "size", F.posexplode("keys").alias("band", "key")).distinct(), "bands")
+    banded = _mapped(texts, BANDED, lambda sets: [pa.array([len(s) for s in sets], pa.int64()), pa.array([set_fingerprint(s) for s in sets], pa.int64()), pa.array([bands(s) for s in sets], pa.list_(pa.int64()))])
+    banded = shared.keep(banded.distinct(), "bands")
+    keyed = banded.select("node", "size", F.posexplode("keys").alias("band", "key"))
     crowd = keyed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("all"), F.min("node").alias("first")).filter("n > 1")
     crowd = crowd.withColumn("lots", F.ceil(F.greatest(F.col("n") / TOGETHER, F.col("all") / SHINGLES, F.lit(1.0))).cast("int")).drop("n", "all")
     own_lot = F.pmod(F.xxhash64("node", "band"), F.col("lots")).cast("int")
-    met = shared.keep(keyed.join(crowd, ["band", "key"]).withColumn("lot", own_lot), "met")
+    met = keyed.join(crowd, ["band", "key"]).withColumn("lot", own_lot).select("band", "key", "lot", "lots", "first", "node")
+    # Each pair of the blocks is a band of its own.
+    proposed = block_pairs(banded.select("node", "fp"), Shared(docs.sparkSession))
+    proposed = proposed.select(F.lit(BANDS).alias("band"), "key", F.lit(0).alias("lot"), F.lit(1).alias("lots"), F.lit(None).cast("binary").alias("first"), "node")
+    met = shared.keep(met.unionByName(proposed), "met")
     every = F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("lot")
     # Copies of a text are one row a task before they are dealt out; an inner join, as a semi-join would be moved below the grouping.
     wanted = texts.groupBy("node").agg(F.first("text").alias("text")).join(met.select("node").distinct(), "node")

@@ -24,8 +24,8 @@ def op1_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprint and component of every document; see ``near_duplicates`` for nulls and repeats."""
-    return simhash.near_duplicates(_documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
+    """Fingerprint, over three words, and component of every document; see ``near_duplicates`` for nulls and repeats."""
+    return simhash.near_duplicates(_documents(spark, sf_dir), width=3).select("doc_id", "fingerprint", "component_id")
 
 
 def op3_media_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

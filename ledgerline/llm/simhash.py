@@ -30,7 +30,8 @@ from ledgerline.llm.store import Shared, small_batches
 BITS = 64
 BLOCKS = 6
 DISTANCE = 3
-SHINGLE = 3
+#: Words of a shingle.
+WIDTH = 5
 #: The hash's seed in the definition of the fingerprint.
 SEED = 42
 #: Different fingerprints under one key that are compared directly.
@@ -39,7 +40,17 @@ DIRECT = 128
 CHUNK = 1 << 16
 
 
-def fingerprint(text: str | None, width: int = SHINGLE) -> int:
+def majority(ones: np.ndarray, n: int) -> int:
+    """The fingerprint of ``n`` hashes, ``ones`` of which have each bit, the highest first."""
+    return int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big")
+
+
+def bit_counts(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit, the highest first."""
+    return np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+
+
+def fingerprint(text: str | None, width: int = WIDTH) -> int:
     """A bit is 1 where over half of the shingles' hashes have it; no words give 0."""
     words = (text or "").encode().lower().split()
     if not words:
@@ -53,15 +64,14 @@ def fingerprint(text: str | None, width: int = SHINGLE) -> int:
     line, hashed = b" ".join(words), xxhash.xxh64_intdigest
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(starts), CHUNK):
-        h = np.array([hashed(line[a:b], SEED) for a, b in zip(starts[at : at + CHUNK], ends[at : at + CHUNK], strict=True)], ">u8")
-        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(ones * 2 > len(starts)).tobytes(), "big")
+        ones += bit_counts(np.array([hashed(line[a:b], SEED) for a, b in zip(starts[at : at + CHUNK], ends[at : at + CHUNK], strict=True)], ">u8"))
+    return majority(ones, len(starts))
 
 
 FINGERPRINTS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fp", T.LongType())])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE) -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """``doc_id, fp``: each whole text's fingerprint as a signed long; one row for each input row, null ids and repeated rows included; null and wordless texts have 0, long ones count whole; an empty table gives an empty one; other columns are not read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,10 +174,12 @@ def links(distinct: DataFrame, shared: Shared, distance: int = DISTANCE, blocks:
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, distance: int = DISTANCE, blocks: int = BLOCKS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, distance: int = DISTANCE, blocks: int = BLOCKS
 ) -> DataFrame:
     """``doc_id, fp, fingerprint, component_id``: a row for each input row; ``component_id`` is the smallest id reachable over links.
 
+    Links go by the bits alone; ``near_texts.components`` takes them as
+    candidates and has the whole sets of shingles decide.
     Null and wordless texts have fingerprint 0, which links like any other. Rows
     with a null id belong to a component, but name one only where no other id
     is there to do so; repeated rows are copies of each other. Other columns are

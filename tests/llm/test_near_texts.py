@@ -42,6 +42,27 @@ def test_all_pairs_of_enough_overlap_are_linked(spark, monkeypatch, together):
     assert got == plain_kept(rows)
 
 
+def test_blocks_alone_propose_pairs(spark, monkeypatch):
+    """With bands that no two texts share, blocks still find texts of one fingerprint and of a few bits' difference; what overlaps too little is not linked."""
+    salt = iter(range(10**9))
+    monkeypatch.setattr(near_texts, "bands", lambda own: [hash((next(salt), id(own))) for _ in range(near_texts.BANDS)])
+    rng = random.Random(2)
+    rows = [(1, "one two"), (2, "One  two"), (3, "three")]
+    for k in range(10):
+        words = [f"w{rng.randrange(5000)}" for _ in range(4000)]
+        rows += [(10 * k + 10, " ".join(words)), (10 * k + 11, " ".join(words[:-1])), (10 * k + 12, " ".join(words) + " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(r.doc_id for r in corpus_pipeline.keep_one_of_near_copies(spark, docs, "").collect())
+    assert got == plain_kept(rows)
+
+
+def test_fingerprint_of_a_set():
+    own = near_texts.shingles(" ".join(f"w{k}" for k in range(300)))
+    want = sum(1 << b for b in range(64) if 2 * sum(int(h) >> b & 1 for h in own) > len(own))
+    assert near_texts.set_fingerprint(own) % 2**64 == want
+    assert near_texts.set_fingerprint(near_texts.shingles("")) == 0
+
+
 def test_shared_bands():
     rng = np.random.default_rng(1)
     missed = 0

@@ -41,7 +41,7 @@ def partition(labels):
 
 @pytest.mark.parametrize("text", [None, "", "  ", "a", "A b", "a b c", "One word \x1c here", "É é", "w " * 70_000])
 def test_fingerprint(text):
-    assert simhash.fingerprint(text) == plain_fingerprint(text)
+    assert simhash.fingerprint(text, 3) == plain_fingerprint(text)
 
 
 def test_masks_are_pigeonholes():
@@ -76,7 +76,7 @@ def test_tables(spark):
     near[7] = "other"
     rows = [(5, " ".join(base), 1), (3, " ".join(near), 2), (9, " ".join(base).upper(), 3), (9, " ".join(base), 3), (None, None, 4), (8, "", 5), (7, " \t", 6), (1, "quite alone here", 7)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, fp long")
-    out = simhash.near_duplicates(docs).collect()
+    out = simhash.near_duplicates(docs, width=3).collect()
     ids = [i for i, _, _ in rows]
     fps = [plain_fingerprint(t) for _, t, _ in rows]
     labels = plain_components(fps)
