@@ -34,7 +34,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row of the smallest id, then text hash, of each group of near-copies: texts linked by a Jaccard overlap of 0.8 or more of their five-word shingles. Rows that share an id but not a group each count in their own; rows without an id can't be told apart and all stay."""
+    """The row of the smallest id, then text hash, of each group of near-copies: texts that SimHash blocks or MinHash bands bring together and whose five-word shingles have a Jaccard overlap of 0.8 or more. Rows that share an id but not a group each count in their own; rows without an id can't be told apart and all stay."""
     named = docs.filter(F.col("doc_id").isNotNull())
     others = [F.col(f"own_{c}") for c in docs.columns if c not in ("doc_id", "text")]
     # The row's key: its id, its text's and a hash of its other columns.
