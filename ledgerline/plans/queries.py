@@ -12,6 +12,8 @@ from ledgerline.operators import audits, edges, matching, recall, scoring, split
 from ledgerline.sources.fixtures import Fixture, sql_prelude
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+#: Those that read views, as functions of a fixture.
+ON_VIEWS: dict[str, Callable[[Fixture], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
@@ -19,6 +21,8 @@ def query(sql: str | None, views: bool = True) -> Callable:
     """Registers a function of the fixture (or, without ``views``, of session and folder) under its name."""
 
     def register(f: Callable) -> Callable:
+        if views:
+            ON_VIEWS[f.__name__] = f
         QUERIES[f.__name__] = (lambda spark, sf_dir: f(Fixture(spark, sf_dir))) if views else f
         if sql is not None:
             ORACLE_SQL[f.__name__] = f"{sql_prelude()},\n{_SHARED}\n{sql}" if views else sql

@@ -69,6 +69,16 @@ class Fixture:
             self._done[name] = self.spark.sql(re.sub(rf"\b({'|'.join(used)})\b", r"{\1}", sql), **args)
         return self._done[name]
 
+    def stored(self, folder: str) -> Fixture:
+        """The same views, each computed once, as Parquet under ``folder``, a place that driver and executors share."""
+        out = Fixture.__new__(Fixture)
+        out.spark, out.tables, out._done = self.spark, self.tables, {}
+        for name in VIEWS:
+            source = Fixture.view(out, name)
+            source.write.mode("overwrite").parquet(f"{folder}/{name}")
+            out._done[name] = self.spark.read.schema(source.schema).parquet(f"{folder}/{name}")
+        return out
+
     def __getattr__(self, name: str) -> DataFrame:
         if f"er_{name}" not in VIEWS:
             raise AttributeError(name)

@@ -35,6 +35,15 @@ def test_agrees(spark, duck, name):
     assert rows(df.columns, df.collect()) == rows(want.columns, want.fetchall())
 
 
+@pytest.mark.parametrize("name", ["scorer_summary", "cross_country_slices", "gt_explode"])
+def test_stored_views_give_the_same(spark, tmp_path, name):
+    from ledgerline.sources.fixtures import Fixture
+
+    got, want = queries.ON_VIEWS[name](Fixture(spark, SF).stored(str(tmp_path))), queries.QUERIES[name](spark, SF)
+    assert got.schema == want.schema
+    assert rows(got.columns, got.collect()) == rows(want.columns, want.collect())
+
+
 def test_flagship(spark):
     from __spark_entry__ import entry
 
